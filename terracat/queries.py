@@ -94,3 +94,109 @@ FROM lineitem
 def q_dense_ids(spark, d):
     li = dt.table(spark, d, "lineitem").select(*dt.VARIABLE_ORDER)
     return dense_id(li, dt.VARIABLE_ORDER, "variable_source_id")
+
+
+# ------------------------------------------------------ vocabulary
+from .plans import vocabulary as voc  # noqa: E402
+
+_METADATA_SELECT = """
+SELECT {cid} AS concept_id, {name} AS concept_name, 'Metadata' AS domain_id,
+       '{label}' AS vocabulary_id, '{label}' AS concept_class_id,
+       CAST(NULL AS VARCHAR) AS standard_concept, 'OMOP generated' AS concept_code,
+       DATE '1970-01-01' AS valid_start_date, DATE '2099-12-31' AS valid_end_date,
+       CAST(NULL AS VARCHAR) AS invalid_reason
+FROM {frag}"""
+
+PROMOTE_SQL = _cte(
+    vf=dt.VOCABULARY_FRAGMENT_SQL, ve=dt.EXISTING_VOCABULARY_SQL,
+    cf=dt.CONCEPT_CLASS_FRAGMENT_SQL, ce=dt.EXISTING_CONCEPT_CLASSES_SQL,
+    df=dt.DOMAIN_FRAGMENT_SQL, de=dt.EXISTING_DOMAINS_SQL,
+    edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL) + (
+    _METADATA_SELECT.format(cid="vocabulary_concept_id", name="vocabulary_name", label="Vocabulary", frag="vf")
+    + " WHERE vocabulary_id NOT IN (SELECT vocabulary_id FROM ve)\nUNION ALL"
+    + _METADATA_SELECT.format(cid="concept_class_concept_id", name="concept_class_name", label="Concept Class",
+                              frag="cf")
+    + " WHERE concept_class_id NOT IN (SELECT concept_class_id FROM ce)\nUNION ALL"
+    + _METADATA_SELECT.format(cid="domain_concept_id", name="domain_name", label="Domain", frag="df")
+    + " WHERE domain_id NOT IN (SELECT domain_id FROM de)\nUNION ALL"
+    + _METADATA_SELECT.format(cid="relationship_concept_id", name="relationship_name", label="Relationship",
+                              frag="rf"))
+
+
+def _metadata_fragments(spark, d):
+    frags = {
+        "vocabulary": dt.vocabulary_fragment(spark, d),
+        "concept_class": dt.concept_class_fragment(spark, d),
+        "domain": dt.domain_fragment(spark, d),
+        "relationship": dt.relationship_fragment(dt.edge_fragment(spark, d)),
+    }
+    existing = {
+        "vocabulary": dt.existing_vocabulary(spark, d),
+        "concept_class": dt.existing_concept_classes(spark, d),
+        "domain": dt.existing_domains(spark, d),
+    }
+    return frags, existing
+
+
+@register("promote_concepts", PROMOTE_SQL)
+def q_promote_concepts(spark, d):
+    frags, existing = _metadata_fragments(spark, d)
+    return voc.promote_all(frags, existing)
+
+
+@register("new_dimension_rows", _cte(vf=dt.VOCABULARY_FRAGMENT_SQL, ve=dt.EXISTING_VOCABULARY_SQL)
+          + "SELECT * FROM vf WHERE vocabulary_id NOT IN (SELECT vocabulary_id FROM ve)")
+def q_new_dimension_rows(spark, d):
+    return voc.new_dimension_rows(dt.vocabulary_fragment(spark, d), dt.existing_vocabulary(spark, d),
+                                  "vocabulary_id")
+
+
+@register("load_concepts", _cte(cf=dt.CONCEPT_FRAGMENT_SQL) + """
+SELECT concept_id, left(concept_name, 255) AS concept_name, domain_id, vocabulary_id, concept_class_id,
+       standard_concept, concept_code, valid_start_date, valid_end_date, invalid_reason
+FROM cf""")
+def q_load_concepts(spark, d):
+    return voc.load_concepts(dt.concept_fragment(spark, d))
+
+
+@register("load_edges", _cte(edge_fragment=dt.EDGE_FRAGMENT_SQL) + """
+SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, invalid_reason
+FROM edge_fragment""")
+def q_load_edges(spark, d):
+    return voc.load_concept_relationships(dt.edge_fragment(spark, d))
+
+
+@register("load_relationships", _cte(edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL)
+          + "SELECT * FROM rf")
+def q_load_relationships(spark, d):
+    return voc.load_relationships(dt.relationship_fragment(dt.edge_fragment(spark, d)))
+
+
+REVERSE_SQL = _cte(
+    edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL,
+    cr="SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, invalid_reason "
+       "FROM edge_fragment",
+    rev="""SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2,
+                  r.reverse_relationship_id AS relationship_id,
+                  cr.valid_start_date, cr.valid_end_date, cr.invalid_reason
+           FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id AND cr.concept_id_1 > 2000000000""") + """
+SELECT rev.* FROM rev
+LEFT JOIN cr orig ON rev.concept_id_1 = orig.concept_id_1 AND rev.concept_id_2 = orig.concept_id_2
+                 AND rev.relationship_id = orig.relationship_id
+WHERE orig.concept_id_1 IS NULL"""
+
+
+@register("reverse_edges", REVERSE_SQL)
+def q_reverse_edges(spark, d):
+    frag = dt.edge_fragment(spark, d)
+    return voc.complete_reverse(voc.load_concept_relationships(frag), dt.relationship_fragment(frag))
+
+
+@register("id_text_lookup", """
+SELECT o.o_orderkey, CAST(c.c_custkey AS VARCHAR) AS customer_id_text, c.c_name
+FROM orders o JOIN customer c ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)""")
+def q_id_text_lookup(spark, d):
+    from .functions.columns import id_text
+    o = dt.table(spark, d, "orders").select("o_orderkey", id_text("o_custkey").alias("k"))
+    c = dt.table(spark, d, "customer").select(id_text("c_custkey").alias("customer_id_text"), "c_name")
+    return o.join(c, o["k"] == c["customer_id_text"]).select("o_orderkey", "customer_id_text", "c_name")
