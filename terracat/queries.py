@@ -200,3 +200,91 @@ def q_id_text_lookup(spark, d):
     o = dt.table(spark, d, "orders").select("o_orderkey", id_text("o_custkey").alias("k"))
     c = dt.table(spark, d, "customer").select(id_text("c_custkey").alias("customer_id_text"), "c_name")
     return o.join(c, o["k"] == c["customer_id_text"]).select("o_orderkey", "customer_id_text", "c_name")
+
+
+# ------------------------------------------------------------ integrity
+from .contracts import CONTRACTS  # noqa: E402
+from .plans import integrity as ic  # noqa: E402
+from .plans.catalog import schema_slug, table_slug  # noqa: E402
+
+
+def _column_rule_sql(view: str, table: str, rule: str, column: str, cond: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS n_violations FROM {view}")
+
+
+def _required_sql(view, contract, present):
+    return [_column_rule_sql(view, contract.name, "required", c, f"{c} IS NULL")
+            for c in contract.required if c in present]
+
+
+def _length_sql(view, contract, present):
+    return [_column_rule_sql(view, contract.name, f"length<={n}", c, f"length({c}) > {n}")
+            for c, n in contract.bounded if c in present]
+
+
+_DS_COLUMNS = CONTRACTS["data_source"].column_names
+_CONCEPT_COLUMNS = CONTRACTS["concept"].column_names
+
+
+@register("check_required", _cte(ds=dt.DATA_SOURCES_SQL, cf=dt.CONCEPT_FRAGMENT_SQL)
+          + "\nUNION ALL\n".join(_required_sql("ds", CONTRACTS["data_source"], _DS_COLUMNS)
+                                 + _required_sql("cf", CONTRACTS["concept"], _CONCEPT_COLUMNS)))
+def q_check_required(spark, d):
+    return (ic.check_required(dt.data_sources(spark, d), "data_source", CONTRACTS["data_source"].required)
+            .unionByName(ic.check_required(dt.concept_fragment(spark, d), "concept",
+                                           CONTRACTS["concept"].required)))
+
+
+@register("check_length", _cte(ds=dt.DATA_SOURCES_SQL, cf=dt.CONCEPT_FRAGMENT_SQL)
+          + "\nUNION ALL\n".join(_length_sql("ds", CONTRACTS["data_source"], _DS_COLUMNS)
+                                 + _length_sql("cf", CONTRACTS["concept"], _CONCEPT_COLUMNS)))
+def q_check_length(spark, d):
+    return (ic.check_length(dt.data_sources(spark, d), "data_source", CONTRACTS["data_source"].bounded)
+            .unionByName(ic.check_length(dt.concept_fragment(spark, d), "concept",
+                                         CONTRACTS["concept"].bounded)))
+
+
+@register("check_key", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_check_key(spark, d):
+    return ic.duplicate_keys(dt.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("check_unique_catalog", _cte(ds=dt.DATA_SOURCES_SQL) + """
+SELECT org_id, org_set_id, dataset_name, count(*) AS n FROM ds
+WHERE org_id IS NOT NULL AND org_set_id IS NOT NULL AND dataset_name IS NOT NULL
+GROUP BY org_id, org_set_id, dataset_name HAVING count(*) > 1""")
+def q_check_unique_catalog(spark, d):
+    return ic.duplicate_keys(dt.data_sources(spark, d), ["org_id", "org_set_id", "dataset_name"])
+
+
+@register("check_unique_slug", _cte(ds=dt.DATA_SOURCES_SQL) + f"""
+SELECT database_schema, table_name, count(*) AS n FROM (
+  SELECT {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema,
+         {sql_slug("concat(dataset_name)")} AS table_name FROM ds) s
+GROUP BY database_schema, table_name HAVING count(*) > 1""")
+def q_check_unique_slug(spark, d):
+    ds = dt.data_sources(spark, d).select(schema_slug().alias("database_schema"),
+                                          table_slug().alias("table_name"))
+    return ic.duplicate_keys(ds, ["database_schema", "table_name"])
+
+
+@register("check_reference", """
+SELECT o_custkey, count(*) AS n FROM orders o
+WHERE o_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_nationkey < 20 AND c.c_custkey = o.o_custkey)
+GROUP BY o_custkey""")
+def q_check_reference(spark, d):
+    parent = dt.table(spark, d, "customer").where(F.col("c_nationkey") < 20)
+    return ic.orphan_keys(dt.table(spark, d, "orders"), ["o_custkey"], parent, ["c_custkey"])
+
+
+@register("check_id_bounds", """
+SELECT count(*) AS n_rows, CAST(min(id) AS BIGINT) AS min_id, CAST(max(id) AS BIGINT) AS max_id,
+       count(*) FILTER (WHERE id IS NULL OR id < 1 OR id > 2147483647) AS n_out_of_bounds
+FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id FROM lineitem) t""")
+def q_check_id_bounds(spark, d):
+    return ic.id_bounds(q_dense_ids(spark, d), "variable_source_id")
