@@ -288,3 +288,176 @@ SELECT count(*) AS n_rows, CAST(min(id) AS BIGINT) AS min_id, CAST(max(id) AS BI
 FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id FROM lineitem) t""")
 def q_check_id_bounds(spark, d):
     return ic.id_bounds(q_dense_ids(spark, d), "variable_source_id")
+
+
+# -------------------------------------------------------------- staging
+from .plans import staging as stg  # noqa: E402
+
+_LINE_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_EAV_SQL = "\nUNION ALL\n".join(
+    f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, '{m}' AS attr_source_value, "
+    f"{m} AS value_as_number FROM lineitem" for m in _MEASURES)
+
+
+@register("eav", _EAV_SQL)
+def q_eav(spark, d):
+    li = dt.table(spark, d, "lineitem")
+    return stg.wide_to_eav(li, _LINE_IDS, _MEASURES, value_col="value_as_number")
+
+
+_NUMERIC_SQL_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_PART_TEXT = {"p_size": "CAST(p_size AS VARCHAR)", "p_brand": "p_brand", "p_type": "p_type",
+              "p_name": "p_name"}
+
+
+@register("eav_typed", "WITH e AS (" + "\nUNION ALL\n".join(
+    f"SELECT p_partkey, '{k}' AS attr_source_value, {v} AS value_source_value FROM part"
+    for k, v in _PART_TEXT.items()) + f""")
+SELECT p_partkey, attr_source_value, value_source_value,
+       CASE WHEN regexp_matches(value_source_value, '{_NUMERIC_SQL_PATTERN}')
+            THEN TRY_CAST(trim(value_source_value) AS DOUBLE) END AS value_as_number,
+       CASE WHEN NOT regexp_matches(value_source_value, '{_NUMERIC_SQL_PATTERN}')
+              OR TRY_CAST(trim(value_source_value) AS DOUBLE) IS NULL
+            THEN value_source_value END AS value_as_string
+FROM e""")
+def q_eav_typed(spark, d):
+    p = dt.table(spark, d, "part")
+    eav = stg.wide_to_eav(p, ["p_partkey"], list(_PART_TEXT), value_col="value_source_value",
+                          value_type="string")
+    return stg.type_eav_values(eav)
+
+
+def _line_attr(spark, d):
+    """lineitem measures as attribute rows of supplier geometries."""
+    li = dt.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("geom_record_id"),
+        F.col("l_partkey").alias("variable_source_record_id"), *_MEASURES)
+    return stg.wide_to_eav(li, ["l_orderkey", "l_linenumber", "geom_record_id", "variable_source_record_id"],
+                           _MEASURES, value_col="value_as_number")
+
+
+@register("eav_enriched", "WITH e AS (" + "\nUNION ALL\n".join(
+    f"SELECT l_orderkey, l_linenumber, l_suppkey AS geom_record_id, l_partkey AS variable_source_record_id, "
+    f"'{m}' AS attr_source_value, {m} AS value_as_number FROM lineitem" for m in _MEASURES) + """)
+SELECT e.*, s.s_name AS geom_name, p.p_name AS variable_name
+FROM e JOIN supplier s ON s.s_suppkey = e.geom_record_id
+       JOIN part p ON p.p_partkey = e.variable_source_record_id""")
+def q_eav_enriched(spark, d):
+    geom = dt.table(spark, d, "supplier").select(F.col("s_suppkey").alias("geom_record_id"),
+                                                 F.col("s_name").alias("geom_name"))
+    var = dt.table(spark, d, "part").select(F.col("p_partkey").alias("variable_source_id"),
+                                            F.col("p_name").alias("variable_name"))
+    return stg.attach_geometry(_line_attr(spark, d), geom, var)
+
+
+_DECODE_SQL = f"""
+WITH concept AS (
+  SELECT p_partkey AS concept_id, p_name AS concept_name FROM part
+  UNION ALL
+  SELECT {dt.SUPPLIER_CONCEPT_BASE} + s_suppkey, s_name FROM supplier),
+a AS (
+  SELECT l_orderkey, l_linenumber,
+         l_partkey AS attr_concept_id,
+         {dt.SUPPLIER_CONCEPT_BASE} + l_suppkey AS value_as_concept_id,
+         CASE WHEN l_linestatus = 'O' THEN l_partkey END AS unit_concept_id,
+         CASE WHEN l_returnflag = 'A' THEN {dt.SUPPLIER_CONCEPT_BASE} + l_suppkey END AS qualifier_concept_id,
+         l_orderkey AS attr_source_concept_id
+  FROM lineitem)
+SELECT a.*, c1.concept_name AS attr_concept_id_name, c2.concept_name AS value_as_concept_id_name,
+       c3.concept_name AS unit_concept_id_name, c4.concept_name AS qualifier_concept_id_name,
+       c5.concept_name AS attr_source_concept_id_name
+FROM a
+LEFT JOIN concept c1 ON c1.concept_id = a.attr_concept_id
+LEFT JOIN concept c2 ON c2.concept_id = a.value_as_concept_id
+LEFT JOIN concept c3 ON c3.concept_id = a.unit_concept_id
+LEFT JOIN concept c4 ON c4.concept_id = a.qualifier_concept_id
+LEFT JOIN concept c5 ON c5.concept_id = a.attr_source_concept_id
+"""
+
+
+@register("eav_decoded", _DECODE_SQL)
+def q_eav_decoded(spark, d):
+    base = F.lit(dt.SUPPLIER_CONCEPT_BASE)
+    concept = (dt.table(spark, d, "part").select(F.col("p_partkey").alias("concept_id"),
+                                                 F.col("p_name").alias("concept_name"))
+               .unionByName(dt.table(spark, d, "supplier").select(
+                   (base + F.col("s_suppkey")).alias("concept_id"), F.col("s_name").alias("concept_name"))))
+    a = dt.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.col("l_partkey").alias("attr_concept_id"),
+        (base + F.col("l_suppkey")).alias("value_as_concept_id"),
+        F.when(F.col("l_linestatus") == "O", F.col("l_partkey")).alias("unit_concept_id"),
+        F.when(F.col("l_returnflag") == "A", base + F.col("l_suppkey")).alias("qualifier_concept_id"),
+        F.col("l_orderkey").alias("attr_source_concept_id"))
+    return stg.decode_concepts(a, concept)
+
+
+VALID_ON_DATE = "1998-06-30"
+
+
+@register("valid_on", f"""
+SELECT l.l_orderkey, l.l_linenumber, CAST(o.o_orderdate AS DATE) AS attr_start_date,
+       CAST(l.l_shipdate AS DATE) AS attr_end_date
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+WHERE CAST(o.o_orderdate AS DATE) <= DATE '{VALID_ON_DATE}' AND DATE '{VALID_ON_DATE}' <= CAST(l.l_shipdate AS DATE)""")
+def q_valid_on(spark, d):
+    li = dt.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber",
+                                               F.col("l_shipdate").cast("date").alias("attr_end_date"))
+    o = dt.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                            F.col("o_orderdate").cast("date").alias("attr_start_date"))
+    periods = li.join(o, "l_orderkey").select("l_orderkey", "l_linenumber", "attr_start_date", "attr_end_date")
+    return stg.valid_on(periods, VALID_ON_DATE)
+
+
+def staged_events(spark, d):
+    """events staged as attribute rows, one source per event type."""
+    ev = dt.table(spark, d, "events").select(
+        F.col("event_id").alias("attr_record_id"), F.col("user_id").alias("geom_record_id"),
+        F.lit(0).alias("variable_source_record_id"),
+        F.col("ts").cast("date").alias("attr_start_date"), F.col("ts").cast("date").alias("attr_end_date"),
+        F.col("value").alias("value_as_number"), F.lit("value").alias("attr_source_value"),
+        F.col("props").alias("value_source_value"),
+        F.lit("web").alias("org_id"), F.lit("events").alias("org_set_id"),
+        F.col("event_type").alias("dataset_name"))
+    return stg.conform(stg.with_location(ev), "attr_template", keep=stg.PARTITION_COLUMNS)
+
+
+STAGED_SELECTION = ("click", "purchase")
+
+
+@register("staged_read", f"""
+SELECT event_id AS attr_record_id, user_id AS geom_record_id, 0 AS variable_source_record_id,
+       CAST(ts AS DATE) AS attr_start_date, CAST(ts AS DATE) AS attr_end_date,
+       value AS value_as_number, 'value' AS attr_source_value, props AS value_source_value,
+       'web_events' AS database_schema, {sql_slug("concat(event_type)")} AS table_name
+FROM events
+WHERE {sql_slug("concat(event_type)")} IN {STAGED_SELECTION}""")
+def q_staged_read(spark, d):
+    from .session import scratch_path
+    staged = staged_events(spark, d)
+    path = scratch_path(spark, "staged_events")
+    stg.write_staged(staged, path)
+    stored = spark.read.parquet(path)
+    index = stored.select(*stg.PARTITION_COLUMNS).distinct()
+    out = stg.read_indexed(stored, index, F.col("table_name").isin(*STAGED_SELECTION))
+    return out.select("attr_record_id", "geom_record_id", "variable_source_record_id", "attr_start_date",
+                      "attr_end_date", "value_as_number", "attr_source_value", "value_source_value",
+                      *stg.PARTITION_COLUMNS)
+
+
+@register("index_refresh", _cte(ds=dt.DATA_SOURCES_SQL) + f"""
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN boundary_type IS NULL THEN 0 ELSE 1 END, data_source_uuid)
+            AS BIGINT) AS geom_index_id,
+       CAST(NULL AS BIGINT) AS data_type_id, geom_type AS data_type_name,
+       CAST(NULL AS BIGINT) AS geom_type_concept_id, boundary_type AS geom_type_source_value,
+       {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema,
+       {sql_slug("concat(dataset_name)")} AS table_name,
+       concat_ws(' ', org_id, org_set_id, dataset_name) AS table_desc,
+       CAST(data_source_uuid AS BIGINT) AS data_source_id
+FROM ds WHERE geom_type <> '' AND geom_type IS NOT NULL""")
+def q_index_refresh(spark, d):
+    ds = dt.data_sources(spark, d)
+    first = catalog.build_geom_index(ds.where(F.col("boundary_type").isNull()))
+    added = catalog.refresh_geom_index(first, ds)
+    return first.unionByName(added)
