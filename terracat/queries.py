@@ -461,3 +461,18 @@ def q_index_refresh(spark, d):
     first = catalog.build_geom_index(ds.where(F.col("boundary_type").isNull()))
     added = catalog.refresh_geom_index(first, ds)
     return first.unionByName(added)
+
+
+@register("index_refresh_stream", QUERIES["index_refresh"][1])
+def q_index_refresh_stream(spark, d):
+    """The same two arrivals, fed through the streaming refresh: the first
+    files are indexed by one run, the later ones by a second run that
+    resumes from the stream checkpoint."""
+    from .session import scratch_path
+    from .streaming.refresh import start_geom_index_refresh
+    ds = dt.data_sources(spark, d)
+    src, idx, ckpt = (scratch_path(spark, n) for n in ("ds_stream", "ds_index", "ds_stream_ckpt"))
+    for arrival in (F.col("boundary_type").isNull(), F.col("boundary_type").isNotNull()):
+        ds.where(arrival).write.mode("append").parquet(src)
+        start_geom_index_refresh(spark, src, idx, ckpt, schema=ds.schema).awaitTermination()
+    return spark.read.parquet(idx)
