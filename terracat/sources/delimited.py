@@ -58,13 +58,15 @@ def read_delimited(spark: SparkSession, path: str | list[str], contract: Contrac
 def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite",
                single_file: bool = False) -> None:
     """Write a table as CSV with a header, readable by ``read_delimited``:
-    NULL -> unquoted empty, '' -> quoted empty, embedded quotes doubled.
+    NULL -> unquoted empty, '' -> quoted empty, embedded quotes doubled,
+    edge whitespace and newlines kept (Spark's writer trims by default).
     ``single_file`` coalesces to one file (only for small catalog tables)."""
     out = df.coalesce(1) if single_file else df
     (out.write.mode(mode)
         .option("header", True).option("sep", sep)
         .option("quote", '"').option("escape", '"')
         .option("nullValue", "").option("emptyValue", '""')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path))
 
 
