@@ -77,5 +77,7 @@ def test_load_vocabulary_files(spark, tmp_dir):
     # 'None' vocabulary and 'Metadata' domain are both promoted as concept 0
     assert summary[("concept", "primary key", "concept_id")] == 1
     assert summary[("concept_relationship", "references relationship.relationship_id", "relationship_id")] == 1
-    assert summary[("vocabulary", "references concept.concept_id", "vocabulary_concept_id")] == 1  # 'None' -> 0
+    assert summary[("vocabulary", "references concept.concept_id", "vocabulary_concept_id")] == 0
+    # promoted concepts name the metadata vocabularies, which a fragment-only load lacks
+    assert summary[("concept", "references vocabulary.vocabulary_id", "vocabulary_id")] == 10
     assert summary[("concept", "required", "concept_name")] == 0
