@@ -50,8 +50,9 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     """
     keys = _order_cols(order_by)
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys)
+    # Without an explicit count, AQE sizes the range partitions from the data
+    # (coalescing keeps neighbouring ranges together, so order is preserved).
+    ranged = (df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()

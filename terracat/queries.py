@@ -476,3 +476,89 @@ def q_index_refresh_stream(spark, d):
         ds.where(arrival).write.mode("append").parquet(src)
         start_geom_index_refresh(spark, src, idx, ckpt, schema=ds.schema).awaitTermination()
     return spark.read.parquet(idx)
+
+
+# ------------------------------------------- whole vocabulary: load, then validate
+_VOCAB_TABLES = ("vocabulary", "concept_class", "domain", "relationship", "concept", "concept_relationship")
+
+
+def loaded_vocabulary(spark, d):
+    """Every driver fragment loaded into the six vocabulary tables."""
+    edges = dt.edge_fragment(spark, d)
+    frags = {"vocabulary": dt.vocabulary_fragment(spark, d),
+             "concept_class": dt.concept_class_fragment(spark, d),
+             "domain": dt.domain_fragment(spark, d),
+             "relationship": dt.relationship_fragment(edges),
+             "concept": dt.concept_fragment(spark, d),
+             "concept_relationship": edges}
+    return voc.load_vocabulary(frags)
+
+
+def _vocabulary_tables_sql() -> dict[str, str]:
+    promoted = "\nUNION ALL".join([
+        _METADATA_SELECT.format(cid="vocabulary_concept_id", name="vocabulary_name", label="Vocabulary",
+                                frag="vocabulary_t"),
+        _METADATA_SELECT.format(cid="concept_class_concept_id", name="concept_class_name",
+                                label="Concept Class", frag="concept_class_t"),
+        _METADATA_SELECT.format(cid="domain_concept_id", name="domain_name", label="Domain", frag="domain_t"),
+        _METADATA_SELECT.format(cid="relationship_concept_id", name="relationship_name",
+                                label="Relationship", frag="relationship_t")])
+    return {
+        "edge_fragment": dt.EDGE_FRAGMENT_SQL,
+        "rf": dt.RELATIONSHIP_FRAGMENT_SQL,
+        "vocabulary_t": dt.VOCABULARY_FRAGMENT_SQL,
+        "concept_class_t": dt.CONCEPT_CLASS_FRAGMENT_SQL,
+        "domain_t": dt.DOMAIN_FRAGMENT_SQL,
+        "relationship_t": "SELECT * FROM rf",
+        "cf": dt.CONCEPT_FRAGMENT_SQL,
+        "concept_t": promoted + """
+UNION ALL
+SELECT concept_id, left(concept_name, 255), domain_id, vocabulary_id, concept_class_id, standard_concept,
+       concept_code, valid_start_date, valid_end_date, invalid_reason FROM cf""",
+        "cr": "SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, "
+              "invalid_reason FROM edge_fragment",
+        "concept_relationship_t": "SELECT * FROM cr UNION ALL SELECT * FROM rev_added",
+    }
+
+
+def _vocabulary_integrity_sql() -> str:
+    views = _vocabulary_tables_sql()
+    rev = ("SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2, "
+           "r.reverse_relationship_id AS relationship_id, cr.valid_start_date, cr.valid_end_date, "
+           "cr.invalid_reason FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id "
+           "AND cr.concept_id_1 > 2000000000")
+    views_order = ["edge_fragment", "rf", "vocabulary_t", "concept_class_t", "domain_t", "relationship_t", "cf",
+                   "concept_t", "cr"]
+    ctes = {k: views[k] for k in views_order}
+    ctes["rev"] = rev
+    ctes["rev_added"] = ("SELECT rev.* FROM rev LEFT JOIN cr o ON rev.concept_id_1 = o.concept_id_1 "
+                         "AND rev.concept_id_2 = o.concept_id_2 AND rev.relationship_id = o.relationship_id "
+                         "WHERE o.concept_id_1 IS NULL")
+    ctes["concept_relationship_t"] = views["concept_relationship_t"]
+    parts = []
+    for t in _VOCAB_TABLES:
+        con = CONTRACTS[t]
+        parts += _required_sql(f"{t}_t", con, con.column_names) + _length_sql(f"{t}_t", con, con.column_names)
+        key = ", ".join(con.primary_key)
+        not_null = " AND ".join(f"{k} IS NOT NULL" for k in con.primary_key)
+        parts.append(f"SELECT '{t}' AS table_name, 'primary key' AS rule, '{','.join(con.primary_key)}' AS "
+                     f"column_name, CAST(count(*) AS BIGINT) AS n_violations FROM (SELECT {key} FROM {t}_t "
+                     f"WHERE {not_null} GROUP BY {key} HAVING count(*) > 1) d")
+    for t in _VOCAB_TABLES:
+        for fk in CONTRACTS[t].foreign_keys:
+            if fk.parent not in _VOCAB_TABLES:
+                continue
+            c, p, pc = fk.columns[0], fk.parent, fk.parent_columns[0]
+            parts.append(f"SELECT '{t}' AS table_name, 'references {p}.{pc}' AS rule, '{c}' AS column_name, "
+                         f"CAST(count(*) AS BIGINT) AS n_violations FROM {t}_t ch WHERE ch.{c} IS NOT NULL "
+                         f"AND NOT EXISTS (SELECT 1 FROM {p}_t pa WHERE pa.{pc} = ch.{c})")
+    return _cte(**ctes) + "\nUNION ALL\n".join(parts)
+
+
+@register("vocabulary_integrity", _vocabulary_integrity_sql())
+def q_vocabulary_integrity(spark, d):
+    """Validate after load: the loaded tables are written once (shared
+    checkpoint folder) and every rule reads the written files."""
+    from .sources.tables import materialize
+    loaded = {k: materialize(v, f"vocab_{k}") for k, v in loaded_vocabulary(spark, d).items()}
+    return ic.check_tables(loaded)
