@@ -31,6 +31,7 @@ _PID = "__tc_pid"
 _POS = "__tc_pos"
 _OFF = "__tc_off"
 _CNT = "__tc_cnt"
+_TIE = "__tc_tie"
 
 
 def _order_cols(order_by) -> list[Column]:
@@ -43,8 +44,10 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
              num_partitions: int | None = None) -> DataFrame:
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
 
-    ``order_by`` must be a total order (unique key) for the numbering to be
-    reproducible; ties are numbered in an arbitrary but consistent order.
+    ``order_by`` should be a total order (unique key) for the numbering to
+    be reproducible across runs.  Ties are broken by input position, which
+    also lets the range partitioner split a key shared by many rows (e.g. a
+    group of copies holding a third of the input) over several tasks.
     ``start`` may be a literal or a one-value Column expression such as a
     scalar subquery result.
     """
@@ -52,7 +55,9 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     spark = df.sparkSession
     # Without an explicit count, AQE sizes the range partitions from the data
     # (coalescing keeps neighbouring ranges together, so order is preserved).
-    ranged = (df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
+    keys = [*keys, F.col(_TIE)]
+    ranged = (df.withColumn(_TIE, F.monotonically_increasing_id())
+              .repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
@@ -66,7 +71,7 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     start_c = start if isinstance(start, Column) else F.lit(start)
     out = (ranged.join(F.broadcast(offsets), _PID)
            .withColumn(name, (start_c.cast("long") + F.col(_OFF) + F.col(_POS)).cast("long"))
-           .drop(_PID, _POS, _OFF))
+           .drop(_PID, _POS, _OFF, _TIE))
     return out
 
 

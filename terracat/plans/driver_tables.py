@@ -12,7 +12,7 @@ SQL CTE body, so that the DuckDB oracles describe exactly the same input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MINTED_ID_THRESHOLD, date_lit, typed_null
@@ -92,9 +92,13 @@ def variable_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def variable_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """variable_source with its serial id (dense, in line-key order)."""
-    return dense_id(variable_rows(spark, sf_dir), VARIABLE_ORDER, "variable_source_id")
+def variable_sources(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """variable_source with its serial id (dense, in line-key order);
+    ``columns`` narrows what is numbered and materialised."""
+    rows = variable_rows(spark, sf_dir)
+    if columns:
+        rows = rows.select(*dict.fromkeys([*VARIABLE_ORDER, *columns]))
+    return dense_id(rows, VARIABLE_ORDER, "variable_source_id")
 
 
 VARIABLE_SOURCES_SQL = """
@@ -109,12 +113,12 @@ FROM lineitem
 """
 
 # ------------------------------------------------------- relationship labels
-# label -> (name, hierarchical, defines ancestry, reverse label)
+# label -> (name, hierarchical, defines ancestry, reverse label, concept id offset)
 RELATIONSHIP_LABELS = {
-    "Is a": ("Is a", "1", "1", "Subsumes"),
-    "Subsumes": ("Subsumes", "1", "1", "Is a"),
-    "Maps to": ("Maps to", "0", "0", "Mapped from"),
-    "Mapped from": ("Mapped from", "0", "0", "Maps to"),
+    "Is a": ("Is a", "1", "1", "Subsumes", 1),
+    "Mapped from": ("Mapped from", "0", "0", "Maps to", 2),
+    "Maps to": ("Maps to", "0", "0", "Mapped from", 3),
+    "Subsumes": ("Subsumes", "1", "1", "Is a", 4),
 }
 RELATIONSHIP_CONCEPT_BASE = 2_140_000_000
 
@@ -191,22 +195,24 @@ FROM both_dirs
 
 
 def relationship_fragment(edges: DataFrame) -> DataFrame:
-    """relationship rows for every label the edges use, plus their reverses."""
+    """relationship rows for every label the edges use, plus their reverses
+    (the distinct runs with map-side partial aggregation: a handful of rows
+    leave each task)."""
     labels = edges.select(F.col("relationship_id").alias("l"))
     labels = labels.union(labels.select(_reverse_label_expr(F.col("l")))).distinct()
-    expr_name = expr_h = expr_d = expr_r = None
-    for k, (name, h, d, r) in RELATIONSHIP_LABELS.items():
+    expr_name = expr_h = expr_d = expr_r = expr_id = None
+    for k, (name, h, d, r, off) in RELATIONSHIP_LABELS.items():
         cond = F.col("l") == k
         expr_name = F.when(cond, name) if expr_name is None else expr_name.when(cond, name)
         expr_h = F.when(cond, h) if expr_h is None else expr_h.when(cond, h)
         expr_d = F.when(cond, d) if expr_d is None else expr_d.when(cond, d)
         expr_r = F.when(cond, r) if expr_r is None else expr_r.when(cond, r)
-    ordinal = F.dense_rank().over(Window.orderBy("l"))  # one row per label
+        expr_id = F.when(cond, off) if expr_id is None else expr_id.when(cond, off)
     return labels.select(
         F.col("l").alias("relationship_id"), expr_name.alias("relationship_name"),
         expr_h.alias("is_hierarchical"), expr_d.alias("defines_ancestry"),
         expr_r.alias("reverse_relationship_id"),
-        (F.lit(RELATIONSHIP_CONCEPT_BASE) + ordinal).cast("long").alias("relationship_concept_id"))
+        (F.lit(RELATIONSHIP_CONCEPT_BASE) + expr_id).cast("long").alias("relationship_concept_id"))
 
 
 RELATIONSHIP_FRAGMENT_SQL = f"""
@@ -220,7 +226,9 @@ SELECT l AS relationship_id, l AS relationship_name,
        CASE WHEN l IN ('Is a', 'Subsumes') THEN '1' ELSE '0' END AS defines_ancestry,
        CASE l WHEN 'Is a' THEN 'Subsumes' WHEN 'Subsumes' THEN 'Is a'
               WHEN 'Maps to' THEN 'Mapped from' WHEN 'Mapped from' THEN 'Maps to' END AS reverse_relationship_id,
-       CAST({RELATIONSHIP_CONCEPT_BASE} + dense_rank() OVER (ORDER BY l) AS BIGINT) AS relationship_concept_id
+       CAST({RELATIONSHIP_CONCEPT_BASE} + CASE l WHEN 'Is a' THEN 1 WHEN 'Mapped from' THEN 2
+                                               WHEN 'Maps to' THEN 3 WHEN 'Subsumes' THEN 4 END
+            AS BIGINT) AS relationship_concept_id
 FROM lab
 """
 
