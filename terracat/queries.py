@@ -563,3 +563,20 @@ def q_vocabulary_integrity(spark, d):
     from .sources.tables import materialize
     loaded = {k: materialize(v, f"vocab_{k}") for k, v in loaded_vocabulary(spark, d).items()}
     return ic.check_tables(loaded)
+
+
+# ---------------------------------------------------- files: export and load
+@register("catalog_csv_roundtrip", _cte(ds=dt.DATA_SOURCES_SQL) + """
+SELECT CAST(data_source_uuid AS INTEGER) AS data_source_uuid, org_id, org_set_id, dataset_name, dataset_version,
+       geom_type, geom_spec, boundary_type, CAST(has_attributes AS INTEGER) AS has_attributes,
+       download_method, download_subtype, download_data_standard, download_filename, download_url,
+       download_auth, documentation_url
+FROM ds""")
+def q_catalog_csv_roundtrip(spark, d):
+    """The catalog conformed to its contract, exported as CSV (NULL vs empty
+    text kept apart) and loaded back with the positional, typed reader."""
+    from .session import scratch_path
+    from .sources.delimited import export_csv, read_delimited
+    path = scratch_path(spark, "data_source_csv")
+    export_csv(stg.conform(dt.data_sources(spark, d), "data_source"), path)
+    return read_delimited(spark, path, "data_source")

@@ -72,3 +72,20 @@ def test_load_catalog_writes_and_refreshes(spark, tmp_dir):
     # re-run is idempotent
     out2 = load_catalog(spark, ds_path, vs_path, os.path.join(tmp_dir, "out"))
     assert sorted(tuple(r) for r in out2["attr_index"].collect()) == before
+
+
+def test_geom_index_scan_pushdown_and_pruning(spark, tmp_dir):
+    ds, _ = _catalog(spark, tmp_dir)
+    path = os.path.join(tmp_dir, "ds_parquet")
+    ds.write.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = catalog.geom_index_rows(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    assert "IsNotNull(geom_type)" in pushed and "Not(EqualTo(geom_type,))" in pushed
+    # 6 of the 16 catalog columns are read
+    schema = plan.split("ReadSchema: struct<", 1)[1].split(">", 1)[0]
+    assert sorted(f.split(":")[0] for f in schema.split(",")) == sorted(
+        ["data_source_uuid", "org_id", "org_set_id", "dataset_name", "geom_type", "boundary_type"])

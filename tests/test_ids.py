@@ -44,3 +44,17 @@ def test_dense_id_plan_has_no_single_partition_data_exchange(spark):
     assert plan.count("SinglePartition") <= 1
     single = dense_id_single(df, ["id"], "n")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" in single
+
+
+def test_dense_id_splits_a_group_of_copies(spark):
+    """A third of the rows share one key: ids stay 1..n and the hot key is
+    spread over several range partitions instead of one task."""
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    out = dense_id(df, ["k"], "n", num_partitions=6)
+    agg = out.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n")).first()
+    assert tuple(agg) == (3000, 3000, 1, 3000)
+    hot = out.where("k = -1").agg(F.min("n"), F.max("n")).first()
+    assert tuple(hot) == (1, 1000)              # ties sorted first, contiguous
+    parts = (df.withColumn("__t", F.monotonically_increasing_id())
+             .repartitionByRange(6, "k", "__t").groupBy(F.spark_partition_id()).count().collect())
+    assert max(r["count"] for r in parts) < 1000    # no task holds the whole hot key
