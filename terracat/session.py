@@ -46,17 +46,37 @@ def get_session(master: str | None = None, app: str = "terracat",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared lineage-cutting folder; set a private one only if unset."""
+    """The shared lineage-cutting folder (``spark.checkpoint.dir``).  Only
+    when the session names none (local tests) is a private folder chosen."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="terracat-ckpt-")
+    if root:
+        return root
+    try:
+        root = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext in this client
+        root = None
+    if root:
+        return root
+    root = tempfile.mkdtemp(prefix="terracat-ckpt-")
+    try:
         spark.conf.set("spark.checkpoint.dir", root)
+    except Exception:  # core setting not modifiable at runtime here
+        pass
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:
+        pass
     return root
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint`` usable: point the context at the
+    configured folder if it has none yet."""
     root = checkpoint_root(spark)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote client: the server uses spark.checkpoint.dir
+        return root
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
