@@ -58,9 +58,10 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], num_partitions: i
                     mode: str = "overwrite") -> None:
     """Store rows ordered by an access key: range partitions on ``keys`` and
     sorted inside each file, so Parquet min/max statistics let readers skip
-    files and row groups for key lookups."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+    files and row groups for key lookups.  Without ``num_partitions`` AQE
+    sizes the ranges (advisory partition size) from the data."""
+    ranged = df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
+    ranged.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
 def write_distributed_randomly(df: DataFrame, path: str, num_partitions: int,
