@@ -18,24 +18,22 @@ def _pairs(left_keys, right_keys):
     return list(left_keys), list(right_keys)
 
 
-def _condition(left: DataFrame, right: DataFrame, lk, rk):
-    return reduce(lambda a, b: a & b, [left[l] == right[r] for l, r in zip(lk, rk)])
-
-
-def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys=None) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys=None, also=None) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (NOT EXISTS).
 
     Used for ``NOT IN`` over non-null keys and for ``LEFT JOIN .. IS NULL``;
     Catalyst does not rewrite the latter, so we write the anti join.  Only
     the key columns of ``right`` are read.  The side sizes are left to AQE:
     it broadcasts ``right`` when its runtime size is small and otherwise
-    shuffles both sides on the key.
+    shuffles both sides on the key.  ``also`` is an extra condition on
+    ``left``'s columns added to the join condition.
     """
     lk, rk = _pairs(left_keys, right_keys)
-    r = right.select(*[F.col(c) for c in rk]).alias("__anti_r")
     aliased = [f"__anti_k{i}" for i in range(len(rk))]
-    r = r.toDF(*aliased)
+    r = right.select(*[F.col(c) for c in rk]).toDF(*aliased)
     cond = reduce(lambda a, b: a & b, [left[l] == r[a] for l, a in zip(lk, aliased)])
+    if also is not None:
+        cond = cond & also
     return left.join(r, cond, "left_anti")
 
 
