@@ -580,3 +580,14 @@ def q_catalog_csv_roundtrip(spark, d):
     path = scratch_path(spark, "data_source_csv")
     export_csv(stg.conform(dt.data_sources(spark, d), "data_source"), path)
     return read_delimited(spark, path, "data_source")
+
+
+@register("concepts_clustered", QUERIES["load_concepts"][1])
+def q_concepts_clustered(spark, d):
+    """Loaded concepts stored ordered by concept_id (range partitions, sorted
+    files: min/max statistics serve key lookups) and read back."""
+    from .session import scratch_path
+    from .sources.tables import write_clustered
+    path = scratch_path(spark, "concept_clustered")
+    write_clustered(voc.load_concepts(dt.concept_fragment(spark, d)), path, ["concept_id"])
+    return spark.read.parquet(path)

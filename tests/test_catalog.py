@@ -89,3 +89,13 @@ def test_geom_index_scan_pushdown_and_pruning(spark, tmp_dir):
     schema = plan.split("ReadSchema: struct<", 1)[1].split(">", 1)[0]
     assert sorted(f.split(":")[0] for f in schema.split(",")) == sorted(
         ["data_source_uuid", "org_id", "org_set_id", "dataset_name", "geom_type", "boundary_type"])
+
+
+def test_attr_index_refresh_numbers_after_existing(spark, tmp_dir):
+    ds, vs = _catalog(spark, tmp_dir)
+    gi = catalog.build_geom_index(ds)
+    first = catalog.build_attr_index(ds, vs.where("variable_source_id <= 5"), gi)
+    added = catalog.refresh_attr_index(first, ds, vs, gi)
+    assert [(r.attr_index_id, r.variable_source_id) for r in first.orderBy("attr_index_id").collect()] == \
+        [(1, 1), (2, 5)]
+    assert [(r.attr_index_id, r.variable_source_id) for r in added.collect()] == [(3, 7)]
