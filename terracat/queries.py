@@ -11,10 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.columns import slug
+from .contracts import CONTRACTS
+from .functions.columns import id_text, slug
 from .operators.ids import dense_id
 from .plans import catalog
 from .plans import driver_tables as dt
+from .plans import integrity as ic
+from .plans import staging as stg
+from .plans import vocabulary as voc
+from .plans.catalog import schema_slug, table_slug
+from .session import scratch_path
+from .sources.delimited import export_csv, read_delimited
+from .sources.tables import materialize, write_clustered
+from .streaming.refresh import start_geom_index_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -98,7 +107,6 @@ def q_dense_ids(spark, d):
 
 
 # ------------------------------------------------------ vocabulary
-from .plans import vocabulary as voc  # noqa: E402
 
 _METADATA_SELECT = """
 SELECT {cid} AS concept_id, {name} AS concept_name, 'Metadata' AS domain_id,
@@ -197,16 +205,12 @@ def q_reverse_edges(spark, d):
 SELECT o.o_orderkey, CAST(c.c_custkey AS VARCHAR) AS customer_id_text, c.c_name
 FROM orders o JOIN customer c ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey AS VARCHAR)""")
 def q_id_text_lookup(spark, d):
-    from .functions.columns import id_text
     o = dt.table(spark, d, "orders").select("o_orderkey", id_text("o_custkey").alias("k"))
     c = dt.table(spark, d, "customer").select(id_text("c_custkey").alias("customer_id_text"), "c_name")
     return o.join(c, o["k"] == c["customer_id_text"]).select("o_orderkey", "customer_id_text", "c_name")
 
 
 # ------------------------------------------------------------ integrity
-from .contracts import CONTRACTS  # noqa: E402
-from .plans import integrity as ic  # noqa: E402
-from .plans.catalog import schema_slug, table_slug  # noqa: E402
 
 
 def _column_rule_sql(view: str, table: str, rule: str, column: str, cond: str) -> str:
@@ -292,7 +296,6 @@ def q_check_id_bounds(spark, d):
 
 
 # -------------------------------------------------------------- staging
-from .plans import staging as stg  # noqa: E402
 
 _LINE_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -435,7 +438,6 @@ SELECT event_id AS attr_record_id, user_id AS geom_record_id, 0 AS variable_sour
 FROM events
 WHERE {sql_slug("concat(event_type)")} IN {STAGED_SELECTION}""")
 def q_staged_read(spark, d):
-    from .session import scratch_path
     staged = staged_events(spark, d)
     path = scratch_path(spark, "staged_events")
     stg.write_staged(staged, path)
@@ -469,8 +471,6 @@ def q_index_refresh_stream(spark, d):
     """The same two arrivals, fed through the streaming refresh: the first
     files are indexed by one run, the later ones by a second run that
     resumes from the stream checkpoint."""
-    from .session import scratch_path
-    from .streaming.refresh import start_geom_index_refresh
     ds = dt.data_sources(spark, d)
     src, idx, ckpt = (scratch_path(spark, n) for n in ("ds_stream", "ds_index", "ds_stream_ckpt"))
     for arrival in (F.col("boundary_type").isNull(), F.col("boundary_type").isNotNull()):
@@ -496,14 +496,11 @@ def loaded_vocabulary(spark, d):
 
 
 def _vocabulary_tables_sql() -> dict[str, str]:
-    promoted = "\nUNION ALL".join([
-        _METADATA_SELECT.format(cid="vocabulary_concept_id", name="vocabulary_name", label="Vocabulary",
-                                frag="vocabulary_t"),
-        _METADATA_SELECT.format(cid="concept_class_concept_id", name="concept_class_name",
-                                label="Concept Class", frag="concept_class_t"),
-        _METADATA_SELECT.format(cid="domain_concept_id", name="domain_name", label="Domain", frag="domain_t"),
-        _METADATA_SELECT.format(cid="relationship_concept_id", name="relationship_name",
-                                label="Relationship", frag="relationship_t")])
+    """CTEs (in dependency order) for the six loaded tables ``<name>_t``."""
+    promoted = "\nUNION ALL".join(
+        _METADATA_SELECT.format(cid=f"{k}_concept_id", name=f"{k}_name", label=label, frag=f"{k}_t")
+        for k, label in (("vocabulary", "Vocabulary"), ("concept_class", "Concept Class"),
+                         ("domain", "Domain"), ("relationship", "Relationship")))
     return {
         "edge_fragment": dt.EDGE_FRAGMENT_SQL,
         "rf": dt.RELATIONSHIP_FRAGMENT_SQL,
@@ -518,24 +515,18 @@ SELECT concept_id, left(concept_name, 255), domain_id, vocabulary_id, concept_cl
        concept_code, valid_start_date, valid_end_date, invalid_reason FROM cf""",
         "cr": "SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, "
               "invalid_reason FROM edge_fragment",
+        "rev": "SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2, "
+               "r.reverse_relationship_id AS relationship_id, cr.valid_start_date, cr.valid_end_date, "
+               "cr.invalid_reason FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id "
+               "AND cr.concept_id_1 > 2000000000",
+        "rev_added": "SELECT rev.* FROM rev LEFT JOIN cr o ON rev.concept_id_1 = o.concept_id_1 "
+                     "AND rev.concept_id_2 = o.concept_id_2 AND rev.relationship_id = o.relationship_id "
+                     "WHERE o.concept_id_1 IS NULL",
         "concept_relationship_t": "SELECT * FROM cr UNION ALL SELECT * FROM rev_added",
     }
 
 
 def _vocabulary_integrity_sql() -> str:
-    views = _vocabulary_tables_sql()
-    rev = ("SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2, "
-           "r.reverse_relationship_id AS relationship_id, cr.valid_start_date, cr.valid_end_date, "
-           "cr.invalid_reason FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id "
-           "AND cr.concept_id_1 > 2000000000")
-    views_order = ["edge_fragment", "rf", "vocabulary_t", "concept_class_t", "domain_t", "relationship_t", "cf",
-                   "concept_t", "cr"]
-    ctes = {k: views[k] for k in views_order}
-    ctes["rev"] = rev
-    ctes["rev_added"] = ("SELECT rev.* FROM rev LEFT JOIN cr o ON rev.concept_id_1 = o.concept_id_1 "
-                         "AND rev.concept_id_2 = o.concept_id_2 AND rev.relationship_id = o.relationship_id "
-                         "WHERE o.concept_id_1 IS NULL")
-    ctes["concept_relationship_t"] = views["concept_relationship_t"]
     parts = []
     for t in _VOCAB_TABLES:
         con = CONTRACTS[t]
@@ -553,14 +544,13 @@ def _vocabulary_integrity_sql() -> str:
             parts.append(f"SELECT '{t}' AS table_name, 'references {p}.{pc}' AS rule, '{c}' AS column_name, "
                          f"CAST(count(*) AS BIGINT) AS n_violations FROM {t}_t ch WHERE ch.{c} IS NOT NULL "
                          f"AND NOT EXISTS (SELECT 1 FROM {p}_t pa WHERE pa.{pc} = ch.{c})")
-    return _cte(**ctes) + "\nUNION ALL\n".join(parts)
+    return _cte(**_vocabulary_tables_sql()) + "\nUNION ALL\n".join(parts)
 
 
 @register("vocabulary_integrity", _vocabulary_integrity_sql())
 def q_vocabulary_integrity(spark, d):
     """Validate after load: the loaded tables are written once (shared
     checkpoint folder) and every rule reads the written files."""
-    from .sources.tables import materialize
     loaded = {k: materialize(v, f"vocab_{k}") for k, v in loaded_vocabulary(spark, d).items()}
     return ic.check_tables(loaded)
 
@@ -575,8 +565,6 @@ FROM ds""")
 def q_catalog_csv_roundtrip(spark, d):
     """The catalog conformed to its contract, exported as CSV (NULL vs empty
     text kept apart) and loaded back with the positional, typed reader."""
-    from .session import scratch_path
-    from .sources.delimited import export_csv, read_delimited
     path = scratch_path(spark, "data_source_csv")
     export_csv(stg.conform(dt.data_sources(spark, d), "data_source"), path)
     return read_delimited(spark, path, "data_source")
@@ -586,8 +574,6 @@ def q_catalog_csv_roundtrip(spark, d):
 def q_concepts_clustered(spark, d):
     """Loaded concepts stored ordered by concept_id (range partitions, sorted
     files: min/max statistics serve key lookups) and read back."""
-    from .session import scratch_path
-    from .sources.tables import write_clustered
     path = scratch_path(spark, "concept_clustered")
     write_clustered(voc.load_concepts(dt.concept_fragment(spark, d)), path, ["concept_id"])
     return spark.read.parquet(path)

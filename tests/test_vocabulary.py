@@ -1,7 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
-
 from terracat.plans import integrity
 from terracat.plans import vocabulary as voc
 from terracat.plans.load import load_vocabulary_files
