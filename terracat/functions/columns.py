@@ -33,9 +33,22 @@ def pg_concat(*cols) -> Column:
     return F.concat(*[F.coalesce(_col(c).cast("string"), F.lit("")) for c in cols])
 
 
+# Java lower-cases two characters differently from a per-character mapping:
+# capital I with dot above becomes "i" plus a combining dot, and a
+# word-final capital sigma becomes a final sigma.  Mapping them first makes
+# ``lower`` per-character, as in the database and DuckDB.
+_PER_CHAR_LOWER_FROM = "\u0130\u03a3"
+_PER_CHAR_LOWER_TO = "i\u03c3"
+
+
+def per_char_lower(c) -> Column:
+    """Lower case, one character at a time (no context-dependent rules)."""
+    return F.lower(F.translate(_col(c), _PER_CHAR_LOWER_FROM, _PER_CHAR_LOWER_TO))
+
+
 def slug(c) -> Column:
     """Normalise an identifier for use as a schema or table name."""
-    lowered = F.lower(_col(c))
+    lowered = per_char_lower(c)
     word = F.regexp_replace(lowered, NON_WORD_PATTERN, "_")
     return F.regexp_replace(word, EDGE_OR_REPEATED_UNDERSCORE_PATTERN, "")
 

@@ -52,3 +52,24 @@ def test_slug_properties(spark, values):
         assert "__" not in s
         assert not s.startswith("_") and not s.endswith("_")
         assert s == s.lower()
+
+
+def test_slug_agrees_with_duckdb_on_unicode(spark):
+    """Spark's slug and the DuckDB oracle form agree character for character,
+    including context-sensitive lower-casing (dotted capital I, final sigma),
+    combining marks, other numbers and non-Latin scripts."""
+    import random
+
+    import duckdb
+
+    from terracat.queries import sql_slug
+    rnd = random.Random(11)
+    alphabet = list("aZ09_ -#.,!\n\t") + list("éÉßİıΣςǅﬁÅñǘ̀中文ア٣²½Ⅻ😀‿⁀‍\xa0ǈẞΩωⒶⓐͅ")
+    vals = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, v string")
+    got = {r.i: r.s for r in df.select("i", slug("v").alias("s")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INT, v VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
+    want = dict(con.execute(f"SELECT i, {sql_slug('v')} FROM t").fetchall())
+    assert [i for i in got if got[i] != want[i]] == []
