@@ -99,3 +99,16 @@ def test_attr_index_refresh_numbers_after_existing(spark, tmp_dir):
     assert [(r.attr_index_id, r.variable_source_id) for r in first.orderBy("attr_index_id").collect()] == \
         [(1, 1), (2, 5)]
     assert [(r.attr_index_id, r.variable_source_id) for r in added.collect()] == [(3, 7)]
+
+
+def test_check_loaded_catalog(spark, tmp_dir):
+    from terracat.plans.load import check_loaded
+    out = load_catalog(spark, data_source_csv(os.path.join(tmp_dir, "ds.csv")),
+                       variable_source_csv(os.path.join(tmp_dir, "vs.csv")), os.path.join(tmp_dir, "out"))
+    summary = {(r.table_name, r.rule, r.column_name): r.n_violations for r in check_loaded(out).collect()}
+    assert summary[("geom_index", "length<=255", "table_desc")] == 1        # reported, not truncated
+    assert summary[("data_source", "length<=100", "org_id")] == 1          # the 120-character org
+    assert summary[("geom_index", "primary key", "geom_index_id")] == 0
+    assert summary[("attr_index", "references geom_index.geom_index_id", "attr_of_geom_index_id")] == 0
+    assert summary[("variable_source", "references data_source.data_source_uuid", "geom_dependency_uuid")] == 0
+    assert summary[("data_source", "unique", "org_id,org_set_id,dataset_name")] == 0
