@@ -45,19 +45,26 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` should be a total order (unique key) for the numbering to
-    be reproducible across runs.  Ties are broken by input position, which
-    also lets the range partitioner split a key shared by many rows (e.g. a
-    group of copies holding a third of the input) over several tasks.
+    be reproducible across runs.  Ties are broken by a per-row tag that is
+    stable under task retries, which also lets the range partitioner split
+    a key shared by many rows (e.g. a group of copies holding a third of
+    the input) over several tasks.
     ``start`` may be a literal or a one-value Column expression such as a
     scalar subquery result.
     """
     keys = _order_cols(order_by)
     spark = df.sparkSession
+    # Tie-breaker: position inside the input partition after a local sort by
+    # a hash of the whole row.  Rows of a partition may arrive in any order
+    # (e.g. after a shuffle) and a retried task must route every row as the
+    # first attempt did; after the sort, only identical rows can swap places,
+    # and those are interchangeable.  No shuffle is involved.
+    tagged = (df.sortWithinPartitions(F.xxhash64(*[F.col(c) for c in df.columns]))
+              .withColumn(_TIE, F.monotonically_increasing_id()))
+    keys = [*keys, F.col(_TIE)]
     # Without an explicit count, AQE sizes the range partitions from the data
     # (coalescing keeps neighbouring ranges together, so order is preserved).
-    keys = [*keys, F.col(_TIE)]
-    ranged = (df.withColumn(_TIE, F.monotonically_increasing_id())
-              .repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
+    ranged = (tagged.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
