@@ -526,28 +526,33 @@ SELECT concept_id, left(concept_name, 255), domain_id, vocabulary_id, concept_cl
     }
 
 
-def _vocabulary_integrity_sql() -> str:
+def _integrity_sql(views: dict[str, str], tables: tuple[str, ...]) -> str:
+    """The rule summary of ``integrity.check_tables`` as SQL over the CTEs
+    ``<table>_t``, generated from the same contracts."""
     parts = []
-    for t in _VOCAB_TABLES:
+    for t in tables:
         con = CONTRACTS[t]
         parts += _required_sql(f"{t}_t", con, con.column_names) + _length_sql(f"{t}_t", con, con.column_names)
-        key = ", ".join(con.primary_key)
-        not_null = " AND ".join(f"{k} IS NOT NULL" for k in con.primary_key)
-        parts.append(f"SELECT '{t}' AS table_name, 'primary key' AS rule, '{','.join(con.primary_key)}' AS "
-                     f"column_name, CAST(count(*) AS BIGINT) AS n_violations FROM (SELECT {key} FROM {t}_t "
-                     f"WHERE {not_null} GROUP BY {key} HAVING count(*) > 1) d")
-    for t in _VOCAB_TABLES:
+        keys = [(con.primary_key, "primary key")] if con.primary_key else []
+        keys += [(k, "unique") for k in con.unique_keys if k != con.primary_key]
+        for key, rule in keys:
+            cols = ", ".join(key)
+            not_null = " AND ".join(f"{k} IS NOT NULL" for k in key)
+            parts.append(f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{','.join(key)}' AS column_name, "
+                         f"CAST(count(*) AS BIGINT) AS n_violations FROM (SELECT {cols} FROM {t}_t "
+                         f"WHERE {not_null} GROUP BY {cols} HAVING count(*) > 1) d")
+    for t in tables:
         for fk in CONTRACTS[t].foreign_keys:
-            if fk.parent not in _VOCAB_TABLES:
+            if fk.parent not in tables:
                 continue
             c, p, pc = fk.columns[0], fk.parent, fk.parent_columns[0]
             parts.append(f"SELECT '{t}' AS table_name, 'references {p}.{pc}' AS rule, '{c}' AS column_name, "
                          f"CAST(count(*) AS BIGINT) AS n_violations FROM {t}_t ch WHERE ch.{c} IS NOT NULL "
                          f"AND NOT EXISTS (SELECT 1 FROM {p}_t pa WHERE pa.{pc} = ch.{c})")
-    return _cte(**_vocabulary_tables_sql()) + "\nUNION ALL\n".join(parts)
+    return _cte(**views) + "\nUNION ALL\n".join(parts)
 
 
-@register("vocabulary_integrity", _vocabulary_integrity_sql())
+@register("vocabulary_integrity", _integrity_sql(_vocabulary_tables_sql(), _VOCAB_TABLES))
 def q_vocabulary_integrity(spark, d):
     """Validate after load: the loaded tables are written once (shared
     checkpoint folder) and every rule reads the written files."""
@@ -577,3 +582,22 @@ def q_concepts_clustered(spark, d):
     path = scratch_path(spark, "concept_clustered")
     write_clustered(voc.load_concepts(dt.concept_fragment(spark, d)), path, ["concept_id"])
     return spark.read.parquet(path)
+
+
+# --------------------------------------------- whole catalog: load, then validate
+_CATALOG_TABLES = ("data_source", "variable_source", "geom_index", "attr_index")
+
+
+@register("catalog_integrity", _integrity_sql(
+    {"ds": dt.DATA_SOURCES_SQL, "data_source_t": "SELECT * FROM ds",
+     "variable_source_t": dt.VARIABLE_SOURCES_SQL, "vs": "SELECT * FROM variable_source_t",
+     "geom_index_t": GEOM_INDEX_SQL, "gi": "SELECT * FROM geom_index_t",
+     "attr_index_t": ATTR_INDEX_SQL}, _CATALOG_TABLES))
+def q_catalog_integrity(spark, d):
+    """Every backbone contract rule over the catalog and both indexes, each
+    written once (validate after load)."""
+    ds = materialize(dt.data_sources(spark, d), "catalog_data_source")
+    vs = materialize(dt.variable_sources(spark, d), "catalog_variable_source")
+    gi = materialize(catalog.build_geom_index(ds), "catalog_geom_index")
+    ai = materialize(catalog.build_attr_index(ds, vs, gi), "catalog_attr_index")
+    return ic.check_tables({"data_source": ds, "variable_source": vs, "geom_index": gi, "attr_index": ai})
