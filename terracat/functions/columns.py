@@ -42,8 +42,12 @@ _PER_CHAR_LOWER_TO = "i\u03c3"
 
 
 def per_char_lower(c) -> Column:
-    """Lower case, one character at a time (no context-dependent rules)."""
-    return F.lower(F.translate(_col(c), _PER_CHAR_LOWER_FROM, _PER_CHAR_LOWER_TO))
+    """Lower case, one character at a time (no context-dependent rules).
+    The mapping pass runs only on values holding one of the two characters
+    (a byte search), so whole texts without them pay nothing extra."""
+    c = _col(c)
+    special = c.contains(_PER_CHAR_LOWER_FROM[0]) | c.contains(_PER_CHAR_LOWER_FROM[1])
+    return F.lower(F.when(special, F.translate(c, _PER_CHAR_LOWER_FROM, _PER_CHAR_LOWER_TO)).otherwise(c))
 
 
 def slug(c) -> Column:
