@@ -79,6 +79,12 @@ def _spark_type(name: str) -> T.DataType:
     return _TYPES[name]
 
 
+def spark_type(name: str) -> T.DataType:
+    """Spark type for a contract type name (int, long, double, string, date,
+    binary, decimal)."""
+    return _TYPES[name]
+
+
 def _parse(spec: str) -> tuple[Column, ...]:
     """Rows of ``name type [!] [n]``: ``!`` marks a required column and a
     trailing number is the varchar bound."""

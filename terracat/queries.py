@@ -424,7 +424,9 @@ def staged_events(spark, d):
         F.col("props").alias("value_source_value"),
         F.lit("web").alias("org_id"), F.lit("events").alias("org_set_id"),
         F.col("event_type").alias("dataset_name"))
-    return stg.conform(stg.with_location(ev), "attr_template", keep=stg.PARTITION_COLUMNS)
+    # event and user ids stay 64-bit (the template's int4 would overflow at scale)
+    return stg.conform(stg.with_location(ev), "attr_template", keep=stg.PARTITION_COLUMNS,
+                       types={"attr_record_id": "long", "geom_record_id": "long"})
 
 
 STAGED_SELECTION = ("click", "purchase")
@@ -562,7 +564,7 @@ def q_vocabulary_integrity(spark, d):
 
 # ---------------------------------------------------- files: export and load
 @register("catalog_csv_roundtrip", _cte(ds=dt.DATA_SOURCES_SQL) + """
-SELECT CAST(data_source_uuid AS INTEGER) AS data_source_uuid, org_id, org_set_id, dataset_name, dataset_version,
+SELECT data_source_uuid, org_id, org_set_id, dataset_name, dataset_version,
        geom_type, geom_spec, boundary_type, CAST(has_attributes AS INTEGER) AS has_attributes,
        download_method, download_subtype, download_data_standard, download_filename, download_url,
        download_auth, documentation_url
@@ -571,8 +573,9 @@ def q_catalog_csv_roundtrip(spark, d):
     """The catalog conformed to its contract, exported as CSV (NULL vs empty
     text kept apart) and loaded back with the positional, typed reader."""
     path = scratch_path(spark, "data_source_csv")
-    export_csv(stg.conform(dt.data_sources(spark, d), "data_source"), path)
-    return read_delimited(spark, path, "data_source")
+    ids = {"data_source_uuid": "long"}      # part keys exceed int4 at large scale
+    export_csv(stg.conform(dt.data_sources(spark, d), "data_source", types=ids), path)
+    return read_delimited(spark, path, "data_source", types=ids)
 
 
 @register("concepts_clustered", QUERIES["load_concepts"][1])

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..contracts import CONTRACTS, Contract
+from ..contracts import CONTRACTS, Contract, spark_type
 
 # Never present in real text: makes Spark keep quoted "" as '' while an
 # unquoted empty field still reads as NULL.
@@ -45,14 +45,19 @@ def reader(spark: SparkSession, schema: T.StructType, sep: str = ",", header: bo
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], contract: Contract | str,
-                   **options) -> DataFrame:
+                   types: dict[str, str] | None = None, **options) -> DataFrame:
     """Read delimited file(s) into the columns of ``contract`` (in order).
 
-    ``options``: ``sep``, ``header``, ``mode`` ('FAILFAST' | 'PERMISSIVE'),
-    ``date_format`` (e.g. 'yyyyMMdd' for compact dates), ``encoding``.
+    ``types`` overrides column types (e.g. 64-bit ids); ``options``: ``sep``,
+    ``header``, ``mode`` ('FAILFAST' | 'PERMISSIVE'), ``date_format`` (e.g.
+    'yyyyMMdd' for compact dates), ``encoding``.
     """
     con = CONTRACTS[contract] if isinstance(contract, str) else contract
-    return reader(spark, con.schema(), **options).csv(path)
+    schema = con.schema()
+    if types:
+        schema = T.StructType([T.StructField(f.name, spark_type(types[f.name]) if f.name in types
+                                             else f.dataType, True) for f in schema])
+    return reader(spark, schema, **options).csv(path)
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite",
