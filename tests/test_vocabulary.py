@@ -79,3 +79,24 @@ def test_load_vocabulary_files(spark, tmp_dir):
     # promoted concepts name the metadata vocabularies, which a fragment-only load lacks
     assert summary[("concept", "references vocabulary.vocabulary_id", "vocabulary_id")] == 10
     assert summary[("concept", "required", "concept_name")] == 0
+
+
+def test_existing_dimension_rows_are_never_updated(spark, tmp_dir):
+    f = _frags(spark, tmp_dir)
+    existing_vocab = spark.createDataFrame([("None", "Old name", None, "v0", 0)],
+                                           f["vocabulary"].schema)
+    out = voc.load_vocabulary({"vocabulary": f["vocabulary"]}, {"vocabulary": existing_vocab})
+    got = {r.vocabulary_id: r.vocabulary_name for r in out["vocabulary"].collect()}
+    assert got == {"None": "Old name", "GIS": "GIS vocabulary", "SDOH": "Social determinants"}
+    # only the two new vocabularies were promoted
+    assert sorted(r.concept_id for r in out["concept"].collect()) == [2000000001, 2000000002]
+
+
+def test_vocabulary_load_rerun_is_idempotent(spark, tmp_dir):
+    files = vocabulary_files(os.path.join(tmp_dir, "vocab"))
+    out_dir = os.path.join(tmp_dir, "out")
+    first = {k: sorted(map(tuple, v.collect())) for k, v in
+             load_vocabulary_files(spark, os.path.dirname(files["concept"]), out_dir).items()}
+    second = {k: sorted(map(tuple, v.collect())) for k, v in
+              load_vocabulary_files(spark, os.path.dirname(files["concept"]), out_dir).items()}
+    assert first == second
