@@ -58,3 +58,19 @@ def test_dense_id_splits_a_group_of_copies(spark):
     parts = (df.withColumn("__t", F.monotonically_increasing_id())
              .repartitionByRange(6, "k", "__t").groupBy(F.spark_partition_id()).count().collect())
     assert max(r["count"] for r in parts) < 1000    # no task holds the whole hot key
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=0, max_size=60),
+       st.integers(1, 7))
+def test_dense_id_property(spark, keys, parts):
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    got = [(r.k, r.n) for r in dense_id(df, ["k"], "n", num_partitions=parts).collect()]
+    assert sorted(n for _, n in got) == list(range(1, len(keys) + 1))
+    by_id = [k for k, _ in sorted(got, key=lambda t: t[1])]
+    # ids follow the key order, NULLs first (as ORDER BY k NULLS FIRST)
+    assert by_id == sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
