@@ -418,3 +418,42 @@ FRAGMENT_TABLES = tuple(_FRAGMENTS)
 
 def contract(name: str) -> Contract:
     return CONTRACTS[name]
+
+
+# Spec type names (as written in field-level spec files) -> contract types.
+_SPEC_TYPES = {"int4": "int", "integer": "int", "serial4": "int", "int8": "long", "bigint": "long",
+               "numeric": "long", "float8": "double", "double precision": "double", "text": "string",
+               "varchar": "string", "date": "date", "geometry": "binary"}
+
+
+def _spec_type(raw: str) -> tuple[str, int | None]:
+    t = raw.strip().lower()
+    if t.startswith("varchar(") and t.endswith(")"):
+        return "string", int(t[len("varchar("):-1])
+    return _SPEC_TYPES[t], None
+
+
+def contracts_from_spec(spark, path: str, namespace: str = "backbone") -> dict[str, Contract]:
+    """Contracts from a field-level spec CSV with columns ``cdmTableName,
+    cdmFieldName, isRequired, cdmDatatype, isPrimaryKey, isForeignKey,
+    fkTableName, fkFieldName`` (header names matter here).  The spec is
+    metadata (one row per column), so it is collected to the driver."""
+    rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).csv(path)
+            .select("cdmTableName", "cdmFieldName", "isRequired", "cdmDatatype", "isPrimaryKey",
+                    "isForeignKey", "fkTableName", "fkFieldName")
+            .collect())
+    cols: dict[str, list[Column]] = {}
+    pks: dict[str, list[str]] = {}
+    fks: dict[str, list[ForeignKey]] = {}
+    for r in rows:
+        table, name = r.cdmTableName.strip(), r.cdmFieldName.strip()
+        typ, bound = _spec_type(r.cdmDatatype)
+        cols.setdefault(table, []).append(Column(name, typ, (r.isRequired or "").strip() == "Yes", bound))
+        if (r.isPrimaryKey or "").strip() == "Yes":
+            pks.setdefault(table, []).append(name)
+        if (r.isForeignKey or "").strip() == "Yes" and r.fkTableName:
+            fks.setdefault(table, []).append(ForeignKey(f"fk_{table}_{name}", table, (name,),
+                                                        r.fkTableName.strip(), (r.fkFieldName.strip(),)))
+    return {t: Contract(t, namespace, tuple(c), tuple(pks.get(t, ())), (), tuple(fks.get(t, ())))
+            for t, c in cols.items()}
