@@ -14,10 +14,12 @@ task.  Instead we
 Steps 3 and 4 must see the very same shuffle output: Spark seeds the range
 sampler with the RDD id, so two evaluations of one range repartition (one
 for the counts, one for the rows, e.g. after column pruning made their
-exchanges differ) can pick different bounds.  The numbered frame is
-therefore cut with a reliable ``checkpoint`` into ``spark.checkpoint.dir``
-before the counts are taken; the counts and the ids are both read from
-those files, which also survive the loss of an executor.
+exchanges differ) can pick different bounds.  The tagged rows are
+therefore written once, as Parquet in the folder named by
+``spark.checkpoint.dir``, before the counts are taken; the counts and the
+ids are both read from those files, which also survive the loss of an
+executor.  Partition id and position are stored as columns, so the file
+layout does not matter, and the count pass reads only the partition id.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..sources.tables import materialize
 
 _PID = "__tc_pid"
 _POS = "__tc_pos"
@@ -69,8 +71,9 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_POS, F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    # Written once as Parquet in the shared checkpoint folder: the counts and
+    # the ids below both read these files (the count pass reads one column).
+    ranged = materialize(ranged, "dense_id")
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     # Window over one row per partition: bounded by n, never by the data.
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
