@@ -41,12 +41,21 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     for name, (fn, _) in QUERIES.items():
         if (not only or name in only) and os.path.isdir(warm_dir):
-            run(spark, fn, warm_dir)
+            try:
+                run(spark, fn, warm_dir)
+            except Exception as exc:  # reported in the timed pass
+                print(f"warm-up {name} failed: {exc!r}"[:300], file=sys.stderr)
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name, (fn, _) in QUERIES.items():
         if only and name not in only:
             continue
-        best = min(run(spark, fn, sf_dir) for _ in range(repeat))
+        try:
+            best = min(run(spark, fn, sf_dir) for _ in range(repeat))
+        except Exception as exc:  # one failing query must not hide the others' timings
+            errors[name] = repr(exc)[:300]
+            print(f"{name} failed: {errors[name]}", file=sys.stderr, flush=True)
+            continue
         timings[name] = round(best, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -58,6 +67,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": int(cpus),
         "spark": spark.version,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
