@@ -25,23 +25,20 @@ from ..contracts import CONTRACTS, Contract, spark_type
 NULL_SENTINEL = "\u0001"
 
 
-def reader(spark: SparkSession, schema: T.StructType, sep: str = ",", header: bool = True,
-           mode: str = "FAILFAST", date_format: str | None = None, encoding: str = "UTF-8",
-           multi_line: bool = True):
-    r = (spark.read.schema(schema)
-         .option("header", header)
-         .option("sep", sep)
-         .option("quote", '"')
-         .option("escape", '"')
-         .option("multiLine", multi_line)
-         .option("mode", mode)
-         .option("nullValue", NULL_SENTINEL)
-         .option("encoding", encoding)
-         .option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False))
+def csv_options(sep: str = ",", header: bool = True, mode: str = "FAILFAST",
+                date_format: str | None = None, encoding: str = "UTF-8",
+                multi_line: bool = True) -> dict[str, str]:
+    """Reader options giving database-load CSV semantics (batch and stream)."""
+    opts = {"header": str(header).lower(), "sep": sep, "quote": '"', "escape": '"',
+            "multiLine": str(multi_line).lower(), "mode": mode, "nullValue": NULL_SENTINEL,
+            "encoding": encoding, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     if date_format:
-        r = r.option("dateFormat", date_format)
-    return r
+        opts["dateFormat"] = date_format
+    return opts
+
+
+def reader(spark: SparkSession, schema: T.StructType, **options):
+    return spark.read.schema(schema).options(**csv_options(**options))
 
 
 def read_delimited(spark: SparkSession, path: str | list[str], contract: Contract | str,

@@ -12,17 +12,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import CONTRACTS
 from ..plans.catalog import build_geom_index
+from ..sources.delimited import csv_options
 
 
 def _read_index(spark: SparkSession, index_path: str) -> DataFrame | None:
+    """The index written so far, or None before the first batch.  Only a
+    missing path means "empty"; any other read error fails the batch (an
+    unreadable index must not be taken as empty and re-indexed)."""
     try:
         return spark.read.parquet(index_path)
-    except Exception:  # first batch: the index does not exist yet
-        return None
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return None
+        raise
 
 
 def index_batch(batch: DataFrame, index_path: str) -> None:
@@ -36,12 +43,16 @@ def index_batch(batch: DataFrame, index_path: str) -> None:
 def start_geom_index_refresh(spark: SparkSession, source_dir: str, index_path: str,
                              checkpoint_location: str, files_per_batch: int | None = None,
                              available_now: bool = True, file_format: str = "parquet",
-                             schema=None) -> StreamingQuery:
+                             schema=None, **csv_opts) -> StreamingQuery:
     """Watch ``source_dir`` for new catalog files and keep ``index_path``
-    (a Parquet geom index) up to date."""
+    (a Parquet geom index) up to date.  CSV files are read with the same
+    database-load semantics as the batch reader (``csv_opts`` as for
+    ``read_delimited``)."""
     reader = spark.readStream.schema(schema or _source_schema(spark, source_dir, file_format))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if file_format == "csv":
+        reader = reader.options(**csv_options(**csv_opts))
     stream = reader.format(file_format).load(source_dir)
     writer = (stream.writeStream
               .foreachBatch(lambda df, epoch_id: index_batch(df, index_path))

@@ -44,3 +44,16 @@ def test_streaming_refresh_and_replay(spark, tmp_dir):
     index_batch(ds, idx)
     assert spark.read.parquet(idx).count() == 5
     assert catalog.build_geom_index(ds).exceptAll(spark.read.parquet(idx)).count() == 0
+
+
+def test_streaming_refresh_from_csv_files(spark, tmp_dir):
+    """Catalog rows arriving as CSV files keep the load semantics (quoted
+    JSON with commas, quotes and a newline; blank vs quoted-empty)."""
+    import shutil
+    src, idx, ckpt = (os.path.join(tmp_dir, n) for n in ("csv_src", "idx", "ckpt"))
+    os.makedirs(src)
+    data_source_csv(os.path.join(tmp_dir, "ds.csv"))
+    shutil.copy(os.path.join(tmp_dir, "ds.csv"), os.path.join(src, "batch1.csv"))
+    start_geom_index_refresh(spark, src, idx, ckpt, file_format="csv").awaitTermination()
+    got = sorted((r.data_source_id, r.geom_index_id, r.data_type_name) for r in spark.read.parquet(idx).collect())
+    assert got == [(1, 1, "polygon"), (4, 2, "point"), (5, 3, "point"), (6, 4, "polygon"), (7, 5, "polygon")]
