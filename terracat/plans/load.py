@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.delimited import read_delimited, read_fragment
-from ..sources.tables import write_clustered
+from ..sources.tables import materialize, write_clustered
 from . import catalog, integrity
 from . import vocabulary as voc
 
@@ -41,7 +41,23 @@ def _path(out_dir: str, namespace: str, name: str) -> str:
     return os.path.join(out_dir, namespace, name)
 
 
+def _norm(uri: str) -> str:
+    if uri.startswith("file:"):
+        uri = "/" + uri[len("file:"):].lstrip("/")
+    return uri.rstrip("/")
+
+
+def _reads_from(df: DataFrame, path: str) -> bool:
+    """Whether ``df`` scans files under ``path`` (e.g. an incremental load
+    whose existing rows come from the table being replaced)."""
+    target = _norm(os.path.abspath(path) if "://" not in path else path)
+    return any(_norm(f).startswith(target + "/") for f in df.inputFiles())
+
+
 def _write_and_reload(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    if _reads_from(df, path):
+        # overwriting files the plan still reads would fail: write a copy first
+        df = materialize(df, os.path.basename(path.rstrip("/")))
     write_clustered(df, path, keys)
     return spark.read.parquet(path)
 
@@ -71,7 +87,16 @@ def load_vocabulary_files(spark: SparkSession, fragment_dir: str, out_dir: str,
     frags = {k: read_fragment(spark, os.path.join(fragment_dir, f), k, **csv_options)
              for k, f in FRAGMENT_FILES.items() if os.path.exists(os.path.join(fragment_dir, f))}
     edges_frag = frags.pop("concept_relationship", None)
+    if edges_frag is not None and existing and "concept_relationship" in existing:
+        existing = dict(existing)
+        existing["concept_relationship"] = materialize(
+            existing["concept_relationship"].select(*voc.EDGE_COLUMNS), "vocab_existing_edges")
     tables = voc.load_vocabulary(frags, existing)
+    # Incremental loads may read existing tables from out_dir; every new
+    # table that does is copied to the checkpoint folder before the first
+    # target is overwritten, so no plan reads files replaced by another write.
+    tables = {name: (materialize(df, f"vocab_{name}") if _reads_from(df, out_dir) else df)
+              for name, df in tables.items()}
     out = {}
     for name, df in tables.items():
         out[name] = _write_and_reload(spark, df, _path(out_dir, "vocabulary", name), CLUSTER_KEYS[name])

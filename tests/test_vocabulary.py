@@ -100,3 +100,18 @@ def test_vocabulary_load_rerun_is_idempotent(spark, tmp_dir):
     second = {k: sorted(map(tuple, v.collect())) for k, v in
               load_vocabulary_files(spark, os.path.dirname(files["concept"]), out_dir).items()}
     assert first == second
+
+
+def test_incremental_load_over_own_tables(spark, tmp_dir):
+    """A second load whose existing tables are read from the output folder
+    (incremental use) replaces them without reading overwritten files."""
+    files = vocabulary_files(os.path.join(tmp_dir, "vocab"))
+    out_dir = os.path.join(tmp_dir, "out")
+    frag_dir = os.path.dirname(files["concept"])
+    load_vocabulary_files(spark, frag_dir, out_dir)
+    existing = {k: spark.read.parquet(os.path.join(out_dir, "vocabulary", k))
+                for k in ("vocabulary", "domain", "concept_class")}
+    out = load_vocabulary_files(spark, frag_dir, out_dir, existing=existing)
+    # every fragment key already exists: no dimension row is added twice
+    assert out["vocabulary"].count() == 3 and out["domain"].count() == 2
+    assert out["concept_class"].count() == 2
