@@ -29,7 +29,7 @@ def load(args: argparse.Namespace) -> int:
     ds = os.path.join(args.csv_dir, "data_source.csv")
     vs = os.path.join(args.csv_dir, "variable_source.csv")
     if os.path.exists(ds) and os.path.exists(vs):
-        tables.update(load_catalog(spark, ds, vs, args.out, **csv_opts))
+        tables.update(load_catalog(spark, ds, vs, args.out, refresh=args.refresh, **csv_opts))
     if any(os.path.exists(os.path.join(args.csv_dir, f)) for f in FRAGMENT_FILES.values()):
         tables.update(load_vocabulary_files(spark, args.csv_dir, args.out, **csv_opts))
     if not tables:
@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--csv-dir", required=True)
     lp.add_argument("--out", required=True, help="shared folder for the Parquet tables")
     lp.add_argument("--strict", action="store_true", help="fail when any rule is violated")
+    lp.add_argument("--refresh", action="store_true",
+                    help="keep existing indexes in --out and index only new sources and variables")
     lp.add_argument("--date-format", default=None, help="date pattern of the files, e.g. yyyyMMdd")
     lp.add_argument("--master", default=None)
     lp.add_argument("--cluster", action="store_true", help="use the large-cluster session profile")

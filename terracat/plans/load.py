@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.delimited import read_delimited, read_fragment
-from ..sources.tables import materialize, write_clustered
+from ..sources.tables import materialize, read_if_exists, write_clustered
 from . import catalog, integrity
 from . import vocabulary as voc
 
@@ -63,20 +63,36 @@ def _write_and_reload(spark: SparkSession, df: DataFrame, path: str, keys: list[
 
 
 def load_catalog(spark: SparkSession, data_source_path: str, variable_source_path: str, out_dir: str,
-                 **csv_options) -> dict[str, DataFrame]:
-    """Catalog files -> data_source, variable_source, geom_index, attr_index."""
+                 refresh: bool = False, **csv_options) -> dict[str, DataFrame]:
+    """Catalog files -> data_source, variable_source, geom_index, attr_index.
+
+    ``refresh=False`` rebuilds both indexes.  ``refresh=True`` keeps the
+    indexes already in ``out_dir`` and appends rows for sources and
+    variables that are not indexed yet, numbered after the largest
+    existing ids (the catalog files hold the whole current catalog)."""
     ds = read_delimited(spark, data_source_path, "data_source", **csv_options)
     vs = read_delimited(spark, variable_source_path, "variable_source", **csv_options)
     out = {"data_source": _write_and_reload(spark, ds, _path(out_dir, "backbone", "data_source"),
                                             CLUSTER_KEYS["data_source"]),
            "variable_source": _write_and_reload(spark, vs, _path(out_dir, "backbone", "variable_source"),
                                                 CLUSTER_KEYS["variable_source"])}
-    gi = catalog.build_geom_index(out["data_source"])
-    out["geom_index"] = _write_and_reload(spark, gi, _path(out_dir, "backbone", "geom_index"),
-                                          CLUSTER_KEYS["geom_index"])
-    ai = catalog.build_attr_index(out["data_source"], out["variable_source"], out["geom_index"])
-    out["attr_index"] = _write_and_reload(spark, ai, _path(out_dir, "backbone", "attr_index"),
-                                          CLUSTER_KEYS["attr_index"])
+    gi_path, ai_path = _path(out_dir, "backbone", "geom_index"), _path(out_dir, "backbone", "attr_index")
+    old_gi = read_if_exists(spark, gi_path) if refresh else None
+    old_ai = read_if_exists(spark, ai_path) if refresh else None
+    if old_gi is None:
+        gi = catalog.build_geom_index(out["data_source"])
+        out["geom_index"] = _write_and_reload(spark, gi, gi_path, CLUSTER_KEYS["geom_index"])
+    else:
+        # appending next to the files being read is safe (nothing is replaced)
+        catalog.refresh_geom_index(old_gi, out["data_source"]).write.mode("append").parquet(gi_path)
+        out["geom_index"] = spark.read.parquet(gi_path)
+    if old_ai is None:
+        ai = catalog.build_attr_index(out["data_source"], out["variable_source"], out["geom_index"])
+        out["attr_index"] = _write_and_reload(spark, ai, ai_path, CLUSTER_KEYS["attr_index"])
+    else:
+        catalog.refresh_attr_index(old_ai, out["data_source"], out["variable_source"],
+                                   out["geom_index"]).write.mode("append").parquet(ai_path)
+        out["attr_index"] = spark.read.parquet(ai_path)
     return out
 
 

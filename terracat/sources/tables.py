@@ -4,6 +4,7 @@ materialisation into the shared checkpoint folder to cut lineage."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..contracts import CONTRACTS, Contract
@@ -77,3 +78,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None when the path does not exist.
+    Any other read error is raised: an unreadable table must not be taken
+    for an empty one."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            return None
+        raise

@@ -12,30 +12,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import CONTRACTS
 from ..plans.catalog import build_geom_index
 from ..sources.delimited import csv_options
-
-
-def _read_index(spark: SparkSession, index_path: str) -> DataFrame | None:
-    """The index written so far, or None before the first batch.  Only a
-    missing path means "empty"; any other read error fails the batch (an
-    unreadable index must not be taken as empty and re-indexed)."""
-    try:
-        return spark.read.parquet(index_path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return None
-        raise
+from ..sources.tables import read_if_exists
 
 
 def index_batch(batch: DataFrame, index_path: str) -> None:
     """Append index rows for the not-yet-indexed sources of one batch."""
     spark = batch.sparkSession
-    existing = _read_index(spark, index_path)
+    existing = read_if_exists(spark, index_path)
     rows = build_geom_index(batch, existing=existing)
     rows.write.mode("append").parquet(index_path)
 

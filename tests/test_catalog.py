@@ -112,3 +112,22 @@ def test_check_loaded_catalog(spark, tmp_dir):
     assert summary[("attr_index", "references geom_index.geom_index_id", "attr_of_geom_index_id")] == 0
     assert summary[("variable_source", "references data_source.data_source_uuid", "geom_dependency_uuid")] == 0
     assert summary[("data_source", "unique", "org_id,org_set_id,dataset_name")] == 0
+
+
+def test_load_catalog_refresh_appends_new_sources(spark, tmp_dir):
+    from .fixtures import DS_HEADER
+    full = data_source_csv(os.path.join(tmp_dir, "ds_full.csv"))
+    lines = open(full, encoding="utf-8").read().split("\n")
+    # the first arrival holds sources 1-4 (row 1 spans two lines: quoted newline)
+    first = os.path.join(tmp_dir, "ds_first.csv")
+    with open(first, "w", encoding="utf-8") as fh:
+        fh.write("\n".join([DS_HEADER] + lines[1:6]) + "\n")
+    vs_path = variable_source_csv(os.path.join(tmp_dir, "vs.csv"))
+    out_dir = os.path.join(tmp_dir, "out")
+    a = load_catalog(spark, first, vs_path, out_dir)
+    assert sorted((r.data_source_id, r.geom_index_id) for r in a["geom_index"].collect()) == [(1, 1), (4, 2)]
+    b = load_catalog(spark, full, vs_path, out_dir, refresh=True)
+    assert sorted((r.data_source_id, r.geom_index_id) for r in b["geom_index"].collect()) == \
+        [(1, 1), (4, 2), (5, 3), (6, 4), (7, 5)]
+    assert sorted((r.attr_index_id, r.variable_source_id) for r in b["attr_index"].collect()) == \
+        [(1, 1), (2, 5), (3, 7)]
