@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .plans.integrity import IntegrityError
 from .plans.load import FRAGMENT_FILES, check_loaded, load_catalog, load_vocabulary_files
 from .session import get_session
+from .sources.tables import read_if_exists
+
+VOCABULARY_TABLES = ("vocabulary", "concept_class", "domain", "relationship", "concept", "concept_relationship")
 
 
 def load(args: argparse.Namespace) -> int:
@@ -31,7 +34,11 @@ def load(args: argparse.Namespace) -> int:
     if os.path.exists(ds) and os.path.exists(vs):
         tables.update(load_catalog(spark, ds, vs, args.out, refresh=args.refresh, **csv_opts))
     if any(os.path.exists(os.path.join(args.csv_dir, f)) for f in FRAGMENT_FILES.values()):
-        tables.update(load_vocabulary_files(spark, args.csv_dir, args.out, **csv_opts))
+        existing = None
+        if args.refresh:
+            found = {k: read_if_exists(spark, os.path.join(args.out, "vocabulary", k)) for k in VOCABULARY_TABLES}
+            existing = {k: v for k, v in found.items() if v is not None} or None
+        tables.update(load_vocabulary_files(spark, args.csv_dir, args.out, existing=existing, **csv_opts))
     if not tables:
         print(f"nothing to load in {args.csv_dir}", file=sys.stderr)
         return 2
@@ -55,7 +62,8 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--out", required=True, help="shared folder for the Parquet tables")
     lp.add_argument("--strict", action="store_true", help="fail when any rule is violated")
     lp.add_argument("--refresh", action="store_true",
-                    help="keep existing indexes in --out and index only new sources and variables")
+                    help="keep the tables in --out: index only new sources and variables, add only new "
+                         "vocabulary keys (concepts and edges are appended, as in the load script)")
     lp.add_argument("--date-format", default=None, help="date pattern of the files, e.g. yyyyMMdd")
     lp.add_argument("--master", default=None)
     lp.add_argument("--cluster", action="store_true", help="use the large-cluster session profile")
