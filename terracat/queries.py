@@ -604,3 +604,14 @@ def q_catalog_integrity(spark, d):
     gi = materialize(catalog.build_geom_index(ds), "catalog_geom_index")
     ai = materialize(catalog.build_attr_index(ds, vs, gi), "catalog_attr_index")
     return ic.check_tables({"data_source": ds, "variable_source": vs, "geom_index": gi, "attr_index": ai})
+
+
+# The load script's literal reverse completion: the "existing" side only holds
+# edges whose first concept is minted, so standard -> minted edges that are
+# already present are proposed again (see complete_reverse).
+@register("reverse_edges_literal", REVERSE_SQL.replace(
+    "LEFT JOIN cr orig ON", "LEFT JOIN (SELECT * FROM cr WHERE concept_id_1 > 2000000000) orig ON"))
+def q_reverse_edges_literal(spark, d):
+    frag = dt.edge_fragment(spark, d)
+    return voc.complete_reverse(voc.load_concept_relationships(frag), dt.relationship_fragment(frag),
+                                literal=True)
