@@ -14,7 +14,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[*]", app="terracat-tests", shuffle_partitions=8)
+    s = get_session("local[*]", app="terracat-tests", shuffle_partitions=8,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="terracat-warehouse-")})
     yield s
     s.stop()
 
