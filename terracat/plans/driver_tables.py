@@ -144,18 +144,23 @@ def edge_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
     status 'O', also carry the already-reversed edge.
     """
     li = table(spark, sf_dir, "lineitem")
+    # An edge is fixed by (part, supplier, standard-supplier flag, line
+    # status); reduce the line items to those narrow keys first (map-side
+    # partial aggregation), recording whether any of them carries the
+    # reversed edge, then derive the text columns.  This gives the same set
+    # as a DISTINCT over the ten wide columns, at a fraction of the shuffle.
+    keyed = li.groupBy(
+        "l_partkey", "l_suppkey", (F.col("l_returnflag") == "N").alias("std_b"), "l_linestatus",
+    ).agg(F.max((F.col("l_returnflag") == "A")
+                | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("pre_reversed"))
     c1 = (F.lit(MINTED_ID_THRESHOLD) + F.col("l_partkey")).cast("long")
-    c2 = F.when(F.col("l_returnflag") == "N", F.col("l_suppkey")) \
+    c2 = F.when(F.col("std_b"), F.col("l_suppkey")) \
           .otherwise(F.lit(SUPPLIER_CONCEPT_BASE) + F.col("l_suppkey")).cast("long")
-    label = _label_expr("l_linestatus")
-    base = li.select(
+    base = keyed.select(
         c1.alias("a"), c2.alias("b"),
         F.col("l_partkey").cast("string").alias("code_a"),
         F.col("l_suppkey").cast("string").alias("code_b"),
-        label.alias("rel"),
-        ((F.col("l_returnflag") == "A")
-         | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))).alias("pre_reversed"),
-    )
+        _label_expr("l_linestatus").alias("rel"), "pre_reversed")
     fwd = base.select(
         F.col("a").alias("concept_id_1"), F.col("b").alias("concept_id_2"),
         F.col("code_a").alias("concept_code_1"), F.col("code_b").alias("concept_code_2"),
@@ -166,7 +171,8 @@ def edge_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("code_b").alias("concept_code_1"), F.col("code_a").alias("concept_code_2"),
         F.lit("Supplier").alias("vocabulary_id_1"), F.lit("Part").alias("vocabulary_id_2"),
         _reverse_label_expr(F.col("rel")).alias("relationship_id"))
-    return (fwd.unionByName(rev).distinct()
+    # forward rows start at a part, reversed rows at a supplier: never equal
+    return (fwd.unionByName(rev)
             .withColumn("valid_start_date", date_lit("1970-01-01"))
             .withColumn("valid_end_date", date_lit("2099-12-31"))
             .withColumn("invalid_reason", typed_null("string")))
@@ -194,6 +200,17 @@ FROM both_dirs
 """
 
 
+def edge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relationship labels the edge fragment uses, straight from the
+    line items (two columns read, reduced map-side): the same label set as
+    ``edge_fragment(..).select("relationship_id")`` without building edges."""
+    li = table(spark, sf_dir, "lineitem")
+    pre_reversed = (F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
+    fwd = li.select(_label_expr("l_linestatus").alias("relationship_id"))
+    rev = li.where(pre_reversed).select(_reverse_label_expr(_label_expr("l_linestatus")).alias("relationship_id"))
+    return fwd.union(rev).distinct()
+
+
 def relationship_fragment(edges: DataFrame) -> DataFrame:
     """relationship rows for every label the edges use, plus their reverses
     (the distinct runs with map-side partial aggregation: a handful of rows

@@ -137,7 +137,7 @@ def _metadata_fragments(spark, d):
         "vocabulary": dt.vocabulary_fragment(spark, d),
         "concept_class": dt.concept_class_fragment(spark, d),
         "domain": dt.domain_fragment(spark, d),
-        "relationship": dt.relationship_fragment(dt.edge_fragment(spark, d)),
+        "relationship": dt.relationship_fragment(dt.edge_labels(spark, d)),
     }
     existing = {
         "vocabulary": dt.existing_vocabulary(spark, d),
@@ -178,7 +178,7 @@ def q_load_edges(spark, d):
 @register("load_relationships", _cte(edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL)
           + "SELECT * FROM rf")
 def q_load_relationships(spark, d):
-    return voc.load_relationships(dt.relationship_fragment(dt.edge_fragment(spark, d)))
+    return voc.load_relationships(dt.relationship_fragment(dt.edge_labels(spark, d)))
 
 
 REVERSE_SQL = _cte(
@@ -198,7 +198,8 @@ WHERE orig.concept_id_1 IS NULL"""
 @register("reverse_edges", REVERSE_SQL)
 def q_reverse_edges(spark, d):
     frag = dt.edge_fragment(spark, d)
-    return voc.complete_reverse(voc.load_concept_relationships(frag), dt.relationship_fragment(frag))
+    return voc.complete_reverse(voc.load_concept_relationships(frag),
+                                dt.relationship_fragment(dt.edge_labels(spark, d)))
 
 
 @register("id_text_lookup", """
@@ -491,7 +492,7 @@ def loaded_vocabulary(spark, d):
     frags = {"vocabulary": dt.vocabulary_fragment(spark, d),
              "concept_class": dt.concept_class_fragment(spark, d),
              "domain": dt.domain_fragment(spark, d),
-             "relationship": dt.relationship_fragment(edges),
+             "relationship": dt.relationship_fragment(dt.edge_labels(spark, d)),
              "concept": dt.concept_fragment(spark, d),
              "concept_relationship": edges}
     return voc.load_vocabulary(frags)
@@ -613,5 +614,5 @@ def q_catalog_integrity(spark, d):
     "LEFT JOIN cr orig ON", "LEFT JOIN (SELECT * FROM cr WHERE concept_id_1 > 2000000000) orig ON"))
 def q_reverse_edges_literal(spark, d):
     frag = dt.edge_fragment(spark, d)
-    return voc.complete_reverse(voc.load_concept_relationships(frag), dt.relationship_fragment(frag),
-                                literal=True)
+    return voc.complete_reverse(voc.load_concept_relationships(frag),
+                                dt.relationship_fragment(dt.edge_labels(spark, d)), literal=True)
