@@ -59,3 +59,12 @@ def test_export_round_trip(spark, tmp_dir):
     export_csv(df, out, single_file=True)
     back = read_delimited(spark, out, "data_source")
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_quoted_empty_number_is_rejected_like_a_database_load(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "q.csv"),
+                 'domain_id,domain_name,domain_concept_id\nPlace,Place,""\nX,Y,\n')
+    with pytest.raises(Exception):          # '' is not an integer
+        read_delimited(spark, path, "domain_fragment").collect()
+    rows = read_delimited(spark, path, "domain_fragment", mode="PERMISSIVE").collect()
+    assert [r.domain_concept_id for r in rows] == [None, None]
