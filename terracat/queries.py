@@ -616,3 +616,37 @@ def q_reverse_edges_literal(spark, d):
     frag = dt.edge_fragment(spark, d)
     return voc.complete_reverse(voc.load_concept_relationships(frag),
                                 dt.relationship_fragment(dt.edge_labels(spark, d)), literal=True)
+
+
+_ATTR_ROW_SQL = f"""SELECT vs.variable_source_id, g.geom_index_id AS attr_of_geom_index_id,
+       {sql_slug("concat(ds.org_id, '_', ds.org_set_id)")} AS database_schema,
+       {sql_slug("concat(ds.dataset_name)")} AS table_name,
+       CAST(ds.data_source_uuid AS BIGINT) AS data_source_id
+FROM ds JOIN vs ON ds.data_source_uuid = vs.data_source_uuid AND ds.has_attributes = 1"""
+
+
+@register("index_refresh_attr", _cte(
+    ds=dt.DATA_SOURCES_SQL, vs=dt.VARIABLE_SOURCES_SQL,
+    gi=f"""SELECT CAST(row_number() OVER (ORDER BY CASE WHEN boundary_type IS NULL THEN 0 ELSE 1 END,
+                                       data_source_uuid) AS BIGINT) AS geom_index_id,
+               CAST(data_source_uuid AS BIGINT) AS data_source_id, boundary_type
+        FROM ds WHERE geom_type <> '' AND geom_type IS NOT NULL""",
+    a1=_ATTR_ROW_SQL + " AND ds.boundary_type IS NULL "
+       "JOIN gi g ON g.data_source_id = vs.geom_dependency_uuid AND g.boundary_type IS NULL",
+    a2=_ATTR_ROW_SQL + " JOIN gi g ON g.data_source_id = vs.geom_dependency_uuid "
+       "WHERE vs.variable_source_id NOT IN (SELECT variable_source_id FROM a1)") + """
+SELECT CAST(row_number() OVER (ORDER BY batch, variable_source_id, attr_of_geom_index_id) AS BIGINT) AS attr_index_id,
+       CAST(variable_source_id AS BIGINT) AS variable_source_id, attr_of_geom_index_id, database_schema,
+       table_name, data_source_id
+FROM (SELECT 0 AS batch, * FROM a1 UNION ALL SELECT 1 AS batch, * FROM a2) t""")
+def q_index_refresh_attr(spark, d):
+    """Attribute index refreshed after new sources arrive: the first arrival
+    (sources without a boundary type) is indexed, then the whole catalog;
+    only variables not yet indexed are added, numbered after the first."""
+    ds = dt.data_sources(spark, d)
+    vs = dt.variable_sources(spark, d, columns=["data_source_uuid", "geom_dependency_uuid"])
+    first_ds = ds.where(F.col("boundary_type").isNull())
+    gi1 = catalog.build_geom_index(first_ds)
+    ai1 = catalog.build_attr_index(first_ds, vs, gi1)
+    gi = gi1.unionByName(catalog.refresh_geom_index(gi1, ds))
+    return ai1.unionByName(catalog.refresh_attr_index(ai1, ds, vs, gi))
