@@ -68,3 +68,9 @@ def test_quoted_empty_number_is_rejected_like_a_database_load(spark, tmp_dir):
         read_delimited(spark, path, "domain_fragment").collect()
     rows = read_delimited(spark, path, "domain_fragment", mode="PERMISSIVE").collect()
     assert [r.domain_concept_id for r in rows] == [None, None]
+
+
+def test_columns_are_positional_header_names_ignored(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "h.csv"), "a,b,c\nPlace,Place domain,7\n")
+    r = read_delimited(spark, path, "domain_fragment").first()
+    assert (r.domain_id, r.domain_name, r.domain_concept_id) == ("Place", "Place domain", 7)
