@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import materialize
 
@@ -61,7 +62,8 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     # (e.g. after a shuffle) and a retried task must route every row as the
     # first attempt did; after the sort, only identical rows can swap places,
     # and those are interchangeable.  No shuffle is involved.
-    tagged = (df.sortWithinPartitions(F.xxhash64(*[F.col(c) for c in df.columns]))
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tagged = (df.sortWithinPartitions(F.xxhash64(*hashable))
               .withColumn(_TIE, F.monotonically_increasing_id()))
     keys = [*keys, F.col(_TIE)]
     # Without an explicit count, AQE sizes the range partitions from the data

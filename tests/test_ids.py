@@ -74,3 +74,8 @@ def test_dense_id_property(spark, keys, parts):
     by_id = [k for k, _ in sorted(got, key=lambda t: t[1])]
     # ids follow the key order, NULLs first (as ORDER BY k NULLS FIRST)
     assert by_id == sorted(keys, key=lambda k: (k is not None, k if k is not None else 0))
+
+
+def test_dense_id_with_map_column(spark):
+    df = spark.createDataFrame([(i, {"k": i}) for i in range(20)], "id int, m map<string,int>")
+    assert sorted(r.n for r in dense_id(df, ["id"], "n", num_partitions=3).collect()) == list(range(1, 21))
