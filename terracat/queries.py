@@ -650,3 +650,18 @@ def q_index_refresh_attr(spark, d):
     ai1 = catalog.build_attr_index(first_ds, vs, gi1)
     gi = gi1.unionByName(catalog.refresh_geom_index(gi1, ds))
     return ai1.unionByName(catalog.refresh_attr_index(ai1, ds, vs, gi))
+
+
+@register("index_refresh_attr_stream", QUERIES["index_refresh_attr"][1])
+def q_index_refresh_attr_stream(spark, d):
+    """The two arrivals of ``index_refresh_attr`` fed through the streaming
+    refresh, which keeps the attribute index current next to the geom index."""
+    ds = dt.data_sources(spark, d)
+    vs = dt.variable_sources(spark, d, columns=["data_source_uuid", "geom_dependency_uuid"])
+    src, gi, ai, cat, ckpt = (scratch_path(spark, n) for n in
+                              ("ds_stream", "ds_gi", "ds_ai", "ds_catalog", "ds_stream_ckpt"))
+    for arrival in (F.col("boundary_type").isNull(), F.col("boundary_type").isNotNull()):
+        ds.where(arrival).write.mode("append").parquet(src)
+        start_geom_index_refresh(spark, src, gi, ckpt, schema=ds.schema, attr_index_path=ai,
+                                 variables=vs, catalog_path=cat).awaitTermination()
+    return spark.read.parquet(ai)

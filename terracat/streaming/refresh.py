@@ -15,27 +15,48 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import CONTRACTS
-from ..plans.catalog import build_geom_index
+from ..operators.relational import anti_join
+from ..plans.catalog import build_attr_index, build_geom_index, refresh_attr_index
 from ..sources.delimited import csv_options
 from ..sources.tables import read_if_exists
 
 
-def index_batch(batch: DataFrame, index_path: str) -> None:
-    """Append index rows for the not-yet-indexed sources of one batch."""
+def index_batch(batch: DataFrame, index_path: str, attr_index_path: str | None = None,
+                variables: DataFrame | None = None, catalog_path: str | None = None) -> None:
+    """Append geom index rows for the not-yet-indexed sources of one batch.
+
+    With ``attr_index_path``, ``variables`` and ``catalog_path`` the batch's
+    catalog rows are also kept (``catalog_path``, sources not seen before)
+    and the attribute index is refreshed against every source seen so far:
+    variables not yet indexed are added, numbered after the existing ids."""
     spark = batch.sparkSession
     existing = read_if_exists(spark, index_path)
     rows = build_geom_index(batch, existing=existing)
     rows.write.mode("append").parquet(index_path)
+    if attr_index_path is None or variables is None or catalog_path is None:
+        return
+    seen = read_if_exists(spark, catalog_path)
+    new_sources = batch if seen is None else anti_join(batch, seen, "data_source_uuid")
+    new_sources.write.mode("append").parquet(catalog_path)
+    sources = spark.read.parquet(catalog_path)
+    geom_index = spark.read.parquet(index_path)
+    attr = read_if_exists(spark, attr_index_path)
+    added = (build_attr_index(sources, variables, geom_index) if attr is None
+             else refresh_attr_index(attr, sources, variables, geom_index))
+    added.write.mode("append").parquet(attr_index_path)
 
 
 def start_geom_index_refresh(spark: SparkSession, source_dir: str, index_path: str,
                              checkpoint_location: str, files_per_batch: int | None = None,
                              available_now: bool = True, file_format: str = "parquet",
-                             schema=None, **csv_opts) -> StreamingQuery:
+                             schema=None, attr_index_path: str | None = None,
+                             variables: DataFrame | None = None, catalog_path: str | None = None,
+                             **csv_opts) -> StreamingQuery:
     """Watch ``source_dir`` for new catalog files and keep ``index_path``
-    (a Parquet geom index) up to date.  CSV files are read with the same
-    database-load semantics as the batch reader (``csv_opts`` as for
-    ``read_delimited``)."""
+    (a Parquet geom index) up to date, and with ``attr_index_path``,
+    ``variables`` (the variable_source table) and ``catalog_path`` also the
+    attribute index.  CSV files are read with the same database-load
+    semantics as the batch reader (``csv_opts`` as for ``read_delimited``)."""
     reader = spark.readStream.schema(schema or _source_schema(spark, source_dir, file_format))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -43,7 +64,8 @@ def start_geom_index_refresh(spark: SparkSession, source_dir: str, index_path: s
         reader = reader.options(**csv_options(**csv_opts))
     stream = reader.format(file_format).load(source_dir)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch_id: index_batch(df, index_path))
+              .foreachBatch(lambda df, epoch_id: index_batch(df, index_path, attr_index_path, variables,
+                                                             catalog_path))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -57,3 +57,23 @@ def test_streaming_refresh_from_csv_files(spark, tmp_dir):
     start_geom_index_refresh(spark, src, idx, ckpt, file_format="csv").awaitTermination()
     got = sorted((r.data_source_id, r.geom_index_id, r.data_type_name) for r in spark.read.parquet(idx).collect())
     assert got == [(1, 1, "polygon"), (4, 2, "point"), (5, 3, "point"), (6, 4, "polygon"), (7, 5, "polygon")]
+
+
+def test_streaming_refresh_keeps_attr_index(spark, tmp_dir):
+    from .fixtures import variable_source_csv
+    ds = read_delimited(spark, data_source_csv(os.path.join(tmp_dir, "ds.csv")), "data_source")
+    vs = read_delimited(spark, variable_source_csv(os.path.join(tmp_dir, "vs.csv")), "variable_source")
+    src, idx, aidx, cat, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "gi", "ai", "cat", "ckpt"))
+    kw = dict(schema=ds.schema, attr_index_path=aidx, variables=vs, catalog_path=cat)
+    ds.where("data_source_uuid <= 4").write.parquet(src)
+    start_geom_index_refresh(spark, src, idx, ckpt, **kw).awaitTermination()
+    assert sorted((r.attr_index_id, r.variable_source_id) for r in spark.read.parquet(aidx).collect()) == [(1, 1)]
+    ds.where("data_source_uuid > 4").write.mode("append").parquet(src)
+    start_geom_index_refresh(spark, src, idx, ckpt, **kw).awaitTermination()
+    got = sorted((r.attr_index_id, r.variable_source_id, r.attr_of_geom_index_id)
+                 for r in spark.read.parquet(aidx).collect())
+    assert got == [(1, 1, 1), (2, 5, 3), (3, 7, 2)]
+    # a replayed batch adds nothing to either index
+    from terracat.streaming.refresh import index_batch
+    index_batch(ds, idx, aidx, vs, cat)
+    assert spark.read.parquet(idx).count() == 5 and spark.read.parquet(aidx).count() == 3
