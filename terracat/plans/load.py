@@ -19,6 +19,8 @@ from ..sources.tables import materialize, read_if_exists, write_clustered
 from . import catalog, integrity
 from . import vocabulary as voc
 
+# ---------------------------------------------------------------------------
+# The file names of the six vocabulary fragments.
 FRAGMENT_FILES = {
     "vocabulary": "gis_vocabulary_fragment.csv",
     "concept_class": "gis_concept_class_fragment.csv",
@@ -27,6 +29,7 @@ FRAGMENT_FILES = {
     "relationship": "gis_relationship_fragment.csv",
     "concept_relationship": "gis_concept_relationship_fragment.csv",
 }
+# ---------------------------------------------------------------------------
 # access keys each table is clustered by when written
 CLUSTER_KEYS = {
     "concept": ["concept_id"], "vocabulary": ["vocabulary_id"], "domain": ["domain_id"],
