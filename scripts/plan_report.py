@@ -6,6 +6,8 @@ usage: python scripts/plan_report.py [sf_dir]
 
 from __future__ import annotations
 
+import contextlib
+import io
 import os
 import re
 import sys
@@ -17,8 +19,11 @@ from terracat.session import get_session  # noqa: E402
 
 
 def formatted(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    """``explain("formatted")`` text, captured from stdout."""
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
 
 
 def summarise(text: str) -> dict:
