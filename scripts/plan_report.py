@@ -56,8 +56,9 @@ def main():
     out = ["# Physical plans", "",
            f"Generated by `scripts/plan_report.py` from `explain(\"formatted\")` on {os.path.basename(sf_dir)} "
            "(initial plans; AQE may still turn a shuffled join into a broadcast at run time). "
-           "Jobs that number rows read their numbered input from a checkpoint, so scans below a "
-           "`dense_id` appear in the plan of the checkpoint job, not here.", ""]
+           "Jobs that number rows read their tagged rows from the Parquet files `dense_id` writes to the "
+           "checkpoint folder (scans named `dense_id (scratch)`); the scans below a numbering appear in "
+           "the plan of that write, not here.", ""]
     for name, (fn, _) in QUERIES.items():
         s = summarise(formatted(fn(spark, sf_dir)))
         out.append(f"## {name}")
@@ -66,9 +67,6 @@ def main():
         if s["joins"]:
             out.append(f"- joins: {', '.join(s['joins'])}")
         for table, cols, pf, part in s["scans"]:
-            if table == "ExistingRDD":
-                out.append("- scan of checkpointed numbered rows (dense id)")
-                continue
             line = f"- scan `{table}`: {cols} column(s) read"
             if pf:
                 line += f"; pushed: `{pf}`"
