@@ -77,3 +77,10 @@ def test_streaming_refresh_keeps_attr_index(spark, tmp_dir):
     from terracat.streaming.refresh import index_batch
     index_batch(ds, idx, aidx, vs, cat)
     assert spark.read.parquet(idx).count() == 5 and spark.read.parquet(aidx).count() == 3
+
+
+def test_write_distributed_randomly_spreads_rows(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "random")
+    tables.write_distributed_randomly(spark.range(0, 4000).withColumn("k", F.lit(1)), path, 4)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 4000 and max(sizes) - min(sizes) <= 4   # even round robin
