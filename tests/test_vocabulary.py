@@ -115,3 +115,31 @@ def test_incremental_load_over_own_tables(spark, tmp_dir):
     # every fragment key already exists: no dimension row is added twice
     assert out["vocabulary"].count() == 3 and out["domain"].count() == 2
     assert out["concept_class"].count() == 2
+
+
+from collections import Counter  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_IDS = [5, 7, 2000000001, 2000000002, 2000000003]
+_RELS = {"A": "B", "B": "A", "C": "B", "D": None}     # C shares B's reverse; D has no relationship row
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(_IDS), st.sampled_from(_IDS), st.sampled_from(list(_RELS))),
+                max_size=25))
+def test_complete_reverse_matches_brute_force(spark, edge_list):
+    import datetime as dt
+    d0, d1 = dt.date(1970, 1, 1), dt.date(2099, 12, 31)
+    edges = spark.createDataFrame([(a, b, r, d0, d1, None) for a, b, r in edge_list],
+                                  "concept_id_1 long, concept_id_2 long, relationship_id string, "
+                                  "valid_start_date date, valid_end_date date, invalid_reason string")
+    rel = spark.createDataFrame([(k, v) for k, v in _RELS.items() if v is not None],
+                                "relationship_id string, reverse_relationship_id string")
+    got = Counter((r.concept_id_1, r.concept_id_2, r.relationship_id)
+                  for r in voc.complete_reverse(edges, rel).collect())
+    present = {(a, b, r) for a, b, r in edge_list}
+    want = Counter((b, a, _RELS[r]) for a, b, r in edge_list
+                   if a > 2_000_000_000 and _RELS[r] is not None and (b, a, _RELS[r]) not in present)
+    assert got == want
