@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, pii, secrets
+from . import licenses, mixing, ngram_join, pii, secrets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -23,6 +23,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op2_ngram_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 @register("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
