@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, ngram_join, pii, secrets
+from . import decontaminate, licenses, mixing, ngram_join, pii, secrets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -43,6 +43,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(_table(spark, sf_dir, "documents")))
 
 
+@register("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @register("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
