@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, mixing, ngram_join, pii, secrets
+from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -51,3 +51,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
+@register("op10_fingerprint")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(_table(spark, sf_dir, "documents"))
