@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets
+from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -23,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.digest(toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels"))))
+
+
 @register("op2_ngram_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))

@@ -50,9 +50,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POW_CACHE["pow"][:n], _POW_CACHE["inv"][:n]
 
 
-def _hash_piece(buf: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, first and past-the-end byte of the words of ``buf``; no word
-    crosses one of the byte positions in ``cuts``."""
+def _hash_piece(buf: np.ndarray, cuts: np.ndarray, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of ``buf``; no word crosses one of
+    the byte positions in ``cuts``.  With ``prefixes``, hashes has a column for
+    the word and one for each of its prefixes of so many bytes."""
     w = _IS_WORD[buf]
     start, end = w.copy(), w.copy()
     start[1:] &= ~w[:-1]
@@ -64,7 +65,10 @@ def _hash_piece(buf: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     power, inverse = _powers(len(buf) + 1)
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum(_CODE[buf] * power[:-1], out=total[1:])
-    return mix((total[e] - total[s]) * inverse[s]), s, e
+    if not prefixes:
+        return mix((total[e] - total[s]) * inverse[s]), s
+    ends = [e, *[np.minimum(e, s + p) for p in prefixes]]
+    return np.stack([mix((total[x] - total[s]) * inverse[s]) for x in ends], axis=1), s
 
 
 def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +82,7 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
 
 
-def hashed_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def hashed_rows(column: pa.Array, prefixes: tuple[int, ...] = ()) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, past the last row, word hashes, word offsets): rows of
     the column in blocks of about ``PIECE`` bytes, each text whole.  The words
     of row ``lo + i`` are ``hashes[offsets[i]:offsets[i + 1]]``."""
@@ -89,7 +93,7 @@ def hashed_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         hi = min(hi, n)
         buf = data[off[lo]:off[hi]]
         if len(buf) <= 2 * PIECE:
-            hashes, s, _ = _hash_piece(buf, off[lo:hi + 1] - off[lo])
+            hashes, s = _hash_piece(buf, off[lo:hi + 1] - off[lo], prefixes)
             yield lo, hi, hashes, np.searchsorted(s, off[lo:hi + 1] - off[lo])
         else:  # one very long text: piece by piece, cut after a white space
             found, at = [], 0
@@ -99,7 +103,7 @@ def hashed_rows(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
                     step = buf[to:to + 4096]
                     gap = np.flatnonzero(~_IS_WORD[step])
                     to += int(gap[0]) + 1 if len(gap) else len(step)
-                found.append(_hash_piece(buf[at:to], np.zeros(0, np.int64))[0])
+                found.append(_hash_piece(buf[at:to], np.zeros(0, np.int64), prefixes)[0])
                 at = to
             hashes = np.concatenate(found)
             yield lo, hi, hashes, np.array([0, len(hashes)])
