@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets, toxicity
+from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets, substring, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -54,6 +54,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@register("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated(_table(spark, sf_dir, "documents"))
+
+
 @register("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
