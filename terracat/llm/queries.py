@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, licenses, mixing, ngram_join, pii, secrets, substring, toxicity
+from . import decontaminate, fingerprint, licenses, lm, mixing, ngram_join, pii, secrets, substring, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -44,6 +44,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@register("op5_lm_score")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), stored=True)
+
+
 @register("op6_personal_data")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(_table(spark, sf_dir, "documents")))
