@@ -76,18 +76,18 @@ def _where(cond: Column, spans: Column) -> Column:
     return F.when(cond, spans).otherwise(F.array().cast(_SPAN))
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text and ``base``: spans of the base rules by start, then kind.
-    Cheap tests (a literal, an assignment sign) go before each rule."""
-    text = F.col("text")
+def base_spans(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
+    """``keep``, ``__text`` and ``__base``: spans of the base rules by start, then
+    kind.  Cheap tests (a literal, an assignment sign) go before each rule."""
+    text = F.col("__text")
     # group 2 of the rule: what follows the sign and an optional quote
     long_value = lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= 8
     assign = _where((text.contains("=") | text.contains(":")) & text.rlike(ASSIGN),
                     _spans("assign", _located(text, ASSIGN, long_value)))
     access = _where(text.contains("AKIA"), _spans("access", _located(text, ACCESS)))
     hexes = _where(text.rlike(HEX), _spans("hex", _located(text, HEX)))
-    return (docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .withColumn("base", F.array_sort(F.concat(assign, access, hexes))))
+    return (docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
+            .withColumn("__base", F.array_sort(F.concat(assign, access, hexes))))
 
 
 def _pairs(tokens: DataFrame) -> DataFrame:
@@ -106,7 +106,7 @@ def train(docs: DataFrame, secret_docs: int = SECRET_DOCS, plain_docs: int = PLA
     hit = (F.col("text").rlike(HEX) | F.col("text").contains("AKIA")
            | ((F.col("text").contains("=") | F.col("text").contains(":")) & F.col("text").rlike(ASSIGN)))
     secret = base_spans(text.where(hit).orderBy(*order).limit(secret_docs))
-    values = F.transform("base", lambda s: F.when(s["kind"] == "assign", F.regexp_extract(
+    values = F.transform("__base", lambda s: F.when(s["kind"] == "assign", F.regexp_extract(
         s["value"], ASSIGN, 1)).otherwise(s["value"]))
     secret = secret.select(F.lit(1).alias("label"), F.explode(F.array_distinct(values)).alias("token"))
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))
@@ -134,20 +134,21 @@ def _mean_ratio(token: Column, table: Column) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan(docs: DataFrame, table: list[float] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id and ``spans``: array of (start, rank, end, kind, value) by start,
-    then kind as listed in KINDS."""
+def scan(docs: DataFrame, table: list[float] | None = None, threshold: float = THRESHOLD,
+         keep=("doc_id",), name: str = "spans") -> DataFrame:
+    """The columns ``keep`` and ``name``: array of (start, rank, end, kind, value)
+    by start, then kind as listed in KINDS."""
     if table is None:
         table = train(docs)
     # one literal, parsed once when the plan is optimised
     llr = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
-    text = F.col("text")
+    text = F.col("__text")
     likely = lambda s: _mean_ratio(s["value"], llr) > threshold
     found = _where(text.rlike("[0-9]"), _spans("markov", _located(text, CANDIDATE, likely)))
-    apart = F.filter("more", lambda m: ~F.exists(
-        "base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
-    return (base_spans(docs).withColumn("more", found)
-            .select("doc_id", F.array_sort(F.concat(F.col("base"), apart)).alias("spans")))
+    apart = F.filter("__more", lambda m: ~F.exists(
+        "__base", lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"])))
+    return (base_spans(docs, keep).withColumn("__more", found)
+            .select(*keep, F.array_sort(F.concat(F.col("__base"), apart)).alias(name)))
 
 
 def _joined(spans: Column) -> Column:
