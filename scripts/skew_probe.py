@@ -73,13 +73,11 @@ def main():
                                      F.when(HOT, F.lit(0)).otherwise(F.col("l_partkey")).alias("unit_concept_id"))
     concept = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("concept_id"),
                                                   F.col("p_name").alias("concept_name"))
-    old = stg.CONCEPT_BROADCAST_MAX_ROWS
-    stg.CONCEPT_BROADCAST_MAX_ROWS = 0           # force the shuffled join path
+    # force the shuffled join path
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     run("decode_concepts, shuffled (hot concept id)", lambda: stg.decode_concepts(
         attr, concept, ["unit_concept_id"]).write.format("noop").mode("overwrite").save())
-    stg.CONCEPT_BROADCAST_MAX_ROWS = old
     spark.stop()
     report(log_dir)
 

@@ -422,7 +422,7 @@ def contract(name: str) -> Contract:
 
 # Spec type names (as written in field-level spec files) -> contract types.
 _SPEC_TYPES = {"int4": "int", "integer": "int", "serial4": "int", "int8": "long", "bigint": "long",
-               "numeric": "long", "float8": "double", "double precision": "double", "text": "string",
+               "numeric": "decimal", "float8": "double", "double precision": "double", "text": "string",
                "varchar": "string", "date": "date", "geometry": "binary"}
 
 
@@ -433,11 +433,19 @@ def _spec_type(raw: str) -> tuple[str, int | None]:
     return _SPEC_TYPES[t], None
 
 
-def contracts_from_spec(spark, path: str, namespace: str = "backbone") -> dict[str, Contract]:
+def contracts_from_spec(spark, path: str, namespace: str = "backbone", tables_path: str | None = None
+                        ) -> dict[str, Contract]:
     """Contracts from a field-level spec CSV with columns ``cdmTableName,
     cdmFieldName, isRequired, cdmDatatype, isPrimaryKey, isForeignKey,
     fkTableName, fkFieldName`` (header names matter here).  The spec is
-    metadata (one row per column), so it is collected to the driver."""
+    metadata (one row per column), so it is collected to the driver.
+    NUMERIC columns stay exact (decimal), but for keys, which are long.
+    ``tables_path`` names a table-level spec CSV (column ``cdmTableName``): only the
+    tables it lists get a contract."""
+    listed = None
+    if tables_path is not None:
+        listed = {r[0].strip() for r in spark.read.option("header", True).option("quote", '"').option("escape", '"')
+                  .option("multiLine", True).csv(tables_path).select("cdmTableName").collect() if r[0]}
     rows = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
             .option("multiLine", True).csv(path)
             .select("cdmTableName", "cdmFieldName", "isRequired", "cdmDatatype", "isPrimaryKey",
@@ -448,7 +456,11 @@ def contracts_from_spec(spark, path: str, namespace: str = "backbone") -> dict[s
     fks: dict[str, list[ForeignKey]] = {}
     for r in rows:
         table, name = r.cdmTableName.strip(), r.cdmFieldName.strip()
+        if listed is not None and table not in listed:
+            continue
         typ, bound = _spec_type(r.cdmDatatype)
+        key = (r.isPrimaryKey or "").strip() == "Yes" or (r.isForeignKey or "").strip() == "Yes"
+        typ = "long" if typ == "decimal" and key else typ
         cols.setdefault(table, []).append(Column(name, typ, (r.isRequired or "").strip() == "Yes", bound))
         if (r.isPrimaryKey or "").strip() == "Yes":
             pks.setdefault(table, []).append(name)

@@ -44,14 +44,15 @@ def _order_cols(order_by) -> list[Column]:
 
 
 def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, unique: bool = False) -> DataFrame:
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` should be a total order (unique key) for the numbering to
     be reproducible across runs.  Ties are broken by a per-row tag that is
     stable under task retries, which also lets the range partitioner split
     a key shared by many rows (e.g. a group of copies holding a third of
-    the input) over several tasks.
+    the input) over several tasks.  ``unique`` says that no two rows have equal
+    keys (the primary-key rule checks it) and saves the tag and its sort.
     ``start`` may be a literal or a one-value Column expression such as a
     scalar subquery result.
     """
@@ -62,10 +63,12 @@ def dense_id(df: DataFrame, order_by, name: str, start: int | Column = 1,
     # (e.g. after a shuffle) and a retried task must route every row as the
     # first attempt did; after the sort, only identical rows can swap places,
     # and those are interchangeable.  No shuffle is involved.
-    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    tagged = (df.sortWithinPartitions(F.xxhash64(*hashable))
-              .withColumn(_TIE, F.monotonically_increasing_id()))
-    keys = [*keys, F.col(_TIE)]
+    tagged = df
+    if not unique:
+        hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        tagged = (df.sortWithinPartitions(F.xxhash64(*hashable))
+                  .withColumn(_TIE, F.monotonically_increasing_id()))
+        keys = [*keys, F.col(_TIE)]
     # Without an explicit count, AQE sizes the range partitions from the data
     # (coalescing keeps neighbouring ranges together, so order is preserved).
     ranged = (tagged.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)

@@ -46,14 +46,6 @@ def semi_join(left: DataFrame, right: DataFrame, left_keys, right_keys=None) ->
     return left.join(r, cond, "left_semi")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast-hint ``df`` only after proving it has at most ``max_rows``
-    rows (a ``limit`` count that stops early); otherwise return it unhinted
-    so the join shuffles (or AQE broadcasts it from runtime statistics)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def append(target_columns: list[str], *frames: DataFrame) -> DataFrame:
     """Positional bag append (``INSERT INTO t SELECT ...``): each frame's
     columns are taken in order and renamed to the target's; no dedup."""

@@ -161,18 +161,20 @@ def edge_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("string").alias("code_a"),
         F.col("l_suppkey").cast("string").alias("code_b"),
         _label_expr("l_linestatus").alias("rel"), "pre_reversed")
-    fwd = base.select(
+    # both directions from the one aggregate: forward rows start at a part,
+    # reversed rows at a supplier, so they are never equal
+    fwd = F.struct(
         F.col("a").alias("concept_id_1"), F.col("b").alias("concept_id_2"),
         F.col("code_a").alias("concept_code_1"), F.col("code_b").alias("concept_code_2"),
         F.lit("Part").alias("vocabulary_id_1"), F.lit("Supplier").alias("vocabulary_id_2"),
         F.col("rel").alias("relationship_id"))
-    rev = base.where("pre_reversed").select(
+    rev = F.struct(
         F.col("b").alias("concept_id_1"), F.col("a").alias("concept_id_2"),
         F.col("code_b").alias("concept_code_1"), F.col("code_a").alias("concept_code_2"),
         F.lit("Supplier").alias("vocabulary_id_1"), F.lit("Part").alias("vocabulary_id_2"),
         _reverse_label_expr(F.col("rel")).alias("relationship_id"))
-    # forward rows start at a part, reversed rows at a supplier: never equal
-    return (fwd.unionByName(rev)
+    return (base.select(F.explode(F.array(fwd, F.when(F.col("pre_reversed"), rev))).alias("e"))
+            .where(F.col("e").isNotNull()).select("e.*")
             .withColumn("valid_start_date", date_lit("1970-01-01"))
             .withColumn("valid_end_date", date_lit("2099-12-31"))
             .withColumn("invalid_reason", typed_null("string")))
@@ -206,17 +208,18 @@ def edge_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``edge_fragment(..).select("relationship_id")`` without building edges."""
     li = table(spark, sf_dir, "lineitem")
     pre_reversed = (F.col("l_returnflag") == "A") | ((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"))
-    fwd = li.select(_label_expr("l_linestatus").alias("relationship_id"))
-    rev = li.where(pre_reversed).select(_reverse_label_expr(_label_expr("l_linestatus")).alias("relationship_id"))
-    return fwd.union(rev).distinct()
+    label = _label_expr("l_linestatus")
+    both = F.array(label, F.when(pre_reversed, _reverse_label_expr(label)))
+    return (li.select(F.explode(both).alias("relationship_id"))
+            .where(F.col("relationship_id").isNotNull()).distinct())
 
 
 def relationship_fragment(edges: DataFrame) -> DataFrame:
     """relationship rows for every label the edges use, plus their reverses
     (the distinct runs with map-side partial aggregation: a handful of rows
     leave each task)."""
-    labels = edges.select(F.col("relationship_id").alias("l"))
-    labels = labels.union(labels.select(_reverse_label_expr(F.col("l")))).distinct()
+    own = F.col("relationship_id")
+    labels = edges.select(F.explode(F.array(own, _reverse_label_expr(own))).alias("l")).distinct()
     expr_name = expr_h = expr_d = expr_r = expr_id = None
     for k, (name, h, d, r, off) in RELATIONSHIP_LABELS.items():
         cond = F.col("l") == k

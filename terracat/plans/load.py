@@ -10,8 +10,7 @@ written files, which cuts lineage and keeps ids stable.
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.delimited import read_delimited, read_fragment
@@ -41,26 +40,10 @@ CLUSTER_KEYS = {
 
 
 def _path(out_dir: str, namespace: str, name: str) -> str:
-    return os.path.join(out_dir, namespace, name)
-
-
-def _norm(uri: str) -> str:
-    if uri.startswith("file:"):
-        uri = "/" + uri[len("file:"):].lstrip("/")
-    return uri.rstrip("/")
-
-
-def _reads_from(df: DataFrame, path: str) -> bool:
-    """Whether ``df`` scans files under ``path`` (e.g. an incremental load
-    whose existing rows come from the table being replaced)."""
-    target = _norm(os.path.abspath(path) if "://" not in path else path)
-    return any(_norm(f).startswith(target + "/") for f in df.inputFiles())
+    return f"{out_dir.rstrip('/')}/{namespace}/{name}"
 
 
 def _write_and_reload(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    if _reads_from(df, path):
-        # overwriting files the plan still reads would fail: write a copy first
-        df = materialize(df, os.path.basename(path.rstrip("/")))
     write_clustered(df, path, keys)
     return spark.read.parquet(path)
 
@@ -100,38 +83,27 @@ def load_catalog(spark: SparkSession, data_source_path: str, variable_source_pat
 
 
 def load_vocabulary_files(spark: SparkSession, fragment_dir: str, out_dir: str,
-                          existing: dict[str, DataFrame] | None = None,
+                          existing: dict[str, DataFrame] | None = None, optional: tuple[str, ...] = (),
                           **csv_options) -> dict[str, DataFrame]:
-    """Six fragment files -> vocabulary tables (reverse edges completed)."""
-    frags = {k: read_fragment(spark, os.path.join(fragment_dir, f), k, **csv_options)
-             for k, f in FRAGMENT_FILES.items() if os.path.exists(os.path.join(fragment_dir, f))}
-    edges_frag = frags.pop("concept_relationship", None)
-    if edges_frag is not None and existing and "concept_relationship" in existing:
-        existing = dict(existing)
-        existing["concept_relationship"] = materialize(
-            existing["concept_relationship"].select(*voc.EDGE_COLUMNS), "vocab_existing_edges")
+    """Six fragment files -> vocabulary tables (reverse edges completed).
+
+    Spark resolves the paths, so any file system it reads will do.  A missing
+    file is an error, raised before anything is written, unless its kind is
+    named in ``optional``."""
+    frags = {}
+    for kind, name in FRAGMENT_FILES.items():
+        try:
+            frags[kind] = read_fragment(spark, f"{fragment_dir.rstrip('/')}/{name}", kind, **csv_options)
+        except AnalysisException as exc:
+            if kind not in optional or "PATH_NOT_FOUND" not in str(exc):
+                raise
     tables = voc.load_vocabulary(frags, existing)
-    # Incremental loads may read existing tables from out_dir; every new
-    # table that does is copied to the checkpoint folder before the first
-    # target is overwritten, so no plan reads files replaced by another write.
-    tables = {name: (materialize(df, f"vocab_{name}") if _reads_from(df, out_dir) else df)
-              for name, df in tables.items()}
-    out = {}
-    for name, df in tables.items():
-        out[name] = _write_and_reload(spark, df, _path(out_dir, "vocabulary", name), CLUSTER_KEYS[name])
-    if edges_frag is not None:
-        edges = voc.load_concept_relationships(edges_frag)
-        if existing and "concept_relationship" in existing:
-            edges = voc.append(voc.EDGE_COLUMNS, existing["concept_relationship"].select(*voc.EDGE_COLUMNS),
-                               edges)
-        # write the forward edges first, then complete reverses from the written table
-        written = _write_and_reload(spark, edges, _path(out_dir, "vocabulary", "concept_relationship_loaded"),
-                                    CLUSTER_KEYS["concept_relationship"])
-        completed = (voc.with_reverse(written, out["relationship"]) if "relationship" in out else written)
-        out["concept_relationship"] = _write_and_reload(
-            spark, completed, _path(out_dir, "vocabulary", "concept_relationship"),
-            CLUSTER_KEYS["concept_relationship"])
-    return out
+    if existing:
+        # the existing rows may be those of out_dir: no plan may read files that
+        # another table's write replaces, so all are written aside first
+        tables = {name: materialize(df, f"vocab_{name}") for name, df in tables.items()}
+    return {name: _write_and_reload(spark, df, _path(out_dir, "vocabulary", name), CLUSTER_KEYS[name])
+            for name, df in tables.items()}
 
 
 def check_loaded(tables: dict[str, DataFrame], strict: bool = False) -> DataFrame:

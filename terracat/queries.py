@@ -7,12 +7,13 @@ returns a DataFrame whose column names equal the oracle's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .contracts import CONTRACTS
-from .functions.columns import id_text, slug
+from .functions.columns import MINTED_ID_THRESHOLD, id_text, slug
 from .operators.ids import dense_id
 from .plans import catalog
 from .plans import driver_tables as dt
@@ -20,6 +21,7 @@ from .plans import integrity as ic
 from .plans import staging as stg
 from .plans import vocabulary as voc
 from .plans.catalog import schema_slug, table_slug
+from .plans.load import FRAGMENT_FILES, load_vocabulary_files
 from .session import scratch_path
 from .sources.delimited import export_csv, read_delimited
 from .sources.tables import materialize, write_clustered
@@ -69,15 +71,13 @@ def q_geom_index(spark, d):
 
 
 ATTR_INDEX_SQL = f"""
-SELECT CAST(row_number() OVER (ORDER BY vs.variable_source_id, gi.geom_index_id) AS BIGINT) AS attr_index_id,
-       CAST(vs.variable_source_id AS BIGINT) AS variable_source_id,
-       gi.geom_index_id AS attr_of_geom_index_id,
-       {sql_slug("concat(ds.org_id, '_', ds.org_set_id)")} AS database_schema,
-       {sql_slug("concat(ds.dataset_name)")} AS table_name,
-       CAST(ds.data_source_uuid AS BIGINT) AS data_source_id
-FROM ds
-JOIN vs ON ds.data_source_uuid = vs.data_source_uuid AND ds.has_attributes = 1
-JOIN gi ON gi.data_source_id = vs.geom_dependency_uuid
+SELECT CAST(row_number() OVER (ORDER BY variable_source_id, attr_of_geom_index_id) AS BIGINT) AS attr_index_id, *
+FROM (SELECT CAST(v.variable_source_id AS BIGINT) AS variable_source_id, g.geom_index_id AS attr_of_geom_index_id,
+             s.database_schema, s.table_name, s.data_source_id
+      FROM (SELECT data_source_uuid, {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema,
+                   {sql_slug("concat(dataset_name)")} AS table_name, CAST(data_source_uuid AS BIGINT) AS data_source_id
+            FROM ds WHERE has_attributes = 1) s, vs v, gi g
+      WHERE v.data_source_uuid = s.data_source_uuid AND v.geom_dependency_uuid = g.data_source_id) rows
 """
 
 
@@ -181,25 +181,31 @@ def q_load_relationships(spark, d):
     return voc.load_relationships(dt.relationship_fragment(dt.edge_labels(spark, d)))
 
 
+def _reverse_views(edges: str, labels: str, known: str = "TRUE") -> dict[str, str]:
+    """Views of the completion by its definition: every edge of a minted concept
+    turned round, less those whose key is among the known edges."""
+    key = "concept_id_1, concept_id_2, relationship_id"
+    return {
+        "turned": f"SELECT e.concept_id_2 AS concept_id_1, e.concept_id_1 AS concept_id_2, "
+                  f"(SELECT l.reverse_relationship_id FROM {labels} l WHERE l.relationship_id = e.relationship_id) "
+                  f"AS relationship_id, e.valid_start_date, e.valid_end_date, e.invalid_reason "
+                  f"FROM {edges} e WHERE e.concept_id_1 > {MINTED_ID_THRESHOLD}",
+        "missing": f"SELECT {key} FROM turned EXCEPT SELECT {key} FROM {edges} WHERE {known}",
+        "added": "SELECT t.* FROM turned t WHERE EXISTS (SELECT 1 FROM missing m WHERE m.concept_id_1 = t.concept_id_1 "
+                 "AND m.concept_id_2 = t.concept_id_2 AND m.relationship_id = t.relationship_id)",
+    }
+
+
 REVERSE_SQL = _cte(
     edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL,
-    cr="SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, invalid_reason "
-       "FROM edge_fragment",
-    rev="""SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2,
-                  r.reverse_relationship_id AS relationship_id,
-                  cr.valid_start_date, cr.valid_end_date, cr.invalid_reason
-           FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id AND cr.concept_id_1 > 2000000000""") + """
-SELECT rev.* FROM rev
-LEFT JOIN cr orig ON rev.concept_id_1 = orig.concept_id_1 AND rev.concept_id_2 = orig.concept_id_2
-                 AND rev.relationship_id = orig.relationship_id
-WHERE orig.concept_id_1 IS NULL"""
+    **_reverse_views("edge_fragment", "rf")) + "SELECT * FROM added"
 
 
 @register("reverse_edges", REVERSE_SQL)
 def q_reverse_edges(spark, d):
-    frag = dt.edge_fragment(spark, d)
-    return voc.complete_reverse(voc.load_concept_relationships(frag),
-                                dt.relationship_fragment(dt.edge_labels(spark, d)))
+    """The edges are needed twice (candidates, existing keys): written once."""
+    edges = materialize(voc.load_concept_relationships(dt.edge_fragment(spark, d)), "edges")
+    return voc.complete_reverse(edges, dt.relationship_fragment(dt.edge_labels(spark, d)))
 
 
 @register("id_text_lookup", """
@@ -279,13 +285,12 @@ def q_check_unique_slug(spark, d):
 
 
 @register("check_reference", """
-SELECT o_custkey, count(*) AS n FROM orders o
-WHERE o_custkey IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_nationkey < 20 AND c.c_custkey = o.o_custkey)
-GROUP BY o_custkey""")
+SELECT doc_id, count(*) AS n FROM documents
+WHERE doc_id IN (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)
+GROUP BY doc_id""")
 def q_check_reference(spark, d):
-    parent = dt.table(spark, d, "customer").where(F.col("c_nationkey") < 20)
-    return ic.orphan_keys(dt.table(spark, d, "orders"), ["o_custkey"], parent, ["c_custkey"])
+    """Documents without a label: both whole tables."""
+    return ic.orphan_keys(dt.table(spark, d, "documents"), ["doc_id"], dt.table(spark, d, "labels"), ["doc_id"])
 
 
 @register("check_id_bounds", """
@@ -444,7 +449,7 @@ def q_staged_read(spark, d):
     staged = staged_events(spark, d)
     path = scratch_path(spark, "staged_events")
     stg.write_staged(staged, path)
-    stored = spark.read.parquet(path)
+    stored = stg.read_staged(spark, path)
     index = stored.select(*stg.PARTITION_COLUMNS).distinct()
     out = stg.read_indexed(stored, index, F.col("table_name").isin(*STAGED_SELECTION))
     return out.select("attr_record_id", "geom_record_id", "variable_source_record_id", "attr_start_date",
@@ -516,16 +521,9 @@ def _vocabulary_tables_sql() -> dict[str, str]:
 UNION ALL
 SELECT concept_id, left(concept_name, 255), domain_id, vocabulary_id, concept_class_id, standard_concept,
        concept_code, valid_start_date, valid_end_date, invalid_reason FROM cf""",
-        "cr": "SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, "
-              "invalid_reason FROM edge_fragment",
-        "rev": "SELECT cr.concept_id_2 AS concept_id_1, cr.concept_id_1 AS concept_id_2, "
-               "r.reverse_relationship_id AS relationship_id, cr.valid_start_date, cr.valid_end_date, "
-               "cr.invalid_reason FROM cr JOIN rf r ON cr.relationship_id = r.relationship_id "
-               "AND cr.concept_id_1 > 2000000000",
-        "rev_added": "SELECT rev.* FROM rev LEFT JOIN cr o ON rev.concept_id_1 = o.concept_id_1 "
-                     "AND rev.concept_id_2 = o.concept_id_2 AND rev.relationship_id = o.relationship_id "
-                     "WHERE o.concept_id_1 IS NULL",
-        "concept_relationship_t": "SELECT * FROM cr UNION ALL SELECT * FROM rev_added",
+        **_reverse_views("edge_fragment", "rf"),
+        "concept_relationship_t": "SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, "
+                                  "invalid_reason FROM edge_fragment UNION ALL SELECT * FROM added",
     }
 
 
@@ -546,9 +544,11 @@ def _integrity_sql(views: dict[str, str], tables: tuple[str, ...]) -> str:
                          f"WHERE {not_null} GROUP BY {cols} HAVING count(*) > 1) d")
     for t in tables:
         for fk in CONTRACTS[t].foreign_keys:
+            c, p, pc = fk.columns[0], fk.parent, fk.parent_columns[0]
             if fk.parent not in tables:
+                parts.append(f"SELECT '{t}' AS table_name, 'references {p}.{pc} not checked' AS rule, "
+                             f"'{c}' AS column_name, CAST(NULL AS BIGINT) AS n_violations")
                 continue
-            c, p, pc = fk.columns[0], fk.parent, fk.parent_columns[0]
             parts.append(f"SELECT '{t}' AS table_name, 'references {p}.{pc}' AS rule, '{c}' AS column_name, "
                          f"CAST(count(*) AS BIGINT) AS n_violations FROM {t}_t ch WHERE ch.{c} IS NOT NULL "
                          f"AND NOT EXISTS (SELECT 1 FROM {p}_t pa WHERE pa.{pc} = ch.{c})")
@@ -611,17 +611,6 @@ def q_catalog_integrity(spark, d):
     return ic.check_tables({"data_source": ds, "variable_source": vs, "geom_index": gi, "attr_index": ai})
 
 
-# The load script's literal reverse completion: the "existing" side only holds
-# edges whose first concept is minted, so standard -> minted edges that are
-# already present are proposed again (see complete_reverse).
-@register("reverse_edges_literal", REVERSE_SQL.replace(
-    "LEFT JOIN cr orig ON", "LEFT JOIN (SELECT * FROM cr WHERE concept_id_1 > 2000000000) orig ON"))
-def q_reverse_edges_literal(spark, d):
-    frag = dt.edge_fragment(spark, d)
-    return voc.complete_reverse(voc.load_concept_relationships(frag),
-                                dt.relationship_fragment(dt.edge_labels(spark, d)), literal=True)
-
-
 _ATTR_ROW_SQL = f"""SELECT vs.variable_source_id, g.geom_index_id AS attr_of_geom_index_id,
        {sql_slug("concat(ds.org_id, '_', ds.org_set_id)")} AS database_schema,
        {sql_slug("concat(ds.dataset_name)")} AS table_name,
@@ -669,3 +658,101 @@ def q_index_refresh_attr_stream(spark, d):
         start_geom_index_refresh(spark, src, gi, ckpt, schema=ds.schema, attr_index_path=ai,
                                  variables=vs, catalog_path=cat).awaitTermination()
     return spark.read.parquet(ai)
+
+
+# ------------------------------------------ files: the six fragments
+_FRAGMENT_VIEWS = {"vocabulary": dt.vocabulary_fragment, "concept_class": dt.concept_class_fragment,
+                   "domain": dt.domain_fragment, "concept": dt.concept_fragment,
+                   "concept_relationship": dt.edge_fragment}
+
+
+@register("fragments_csv_roundtrip", _cte(**_vocabulary_tables_sql()) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"CAST(count(DISTINCT {key}) AS BIGINT) AS n_keys, CAST(sum(length({text})) AS BIGINT) AS n_chars FROM {t}_t"
+    for t, key, text in (("vocabulary", "vocabulary_id", "vocabulary_name"),
+                         ("concept_class", "concept_class_id", "concept_class_name"),
+                         ("domain", "domain_id", "domain_name"), ("relationship", "relationship_id", "relationship_name"),
+                         ("concept", "concept_id", "concept_name"),
+                         ("concept_relationship", "(concept_id_1, concept_id_2, relationship_id)", "relationship_id"))))
+def q_fragments_csv_roundtrip(spark, d):
+    """The six fragments exported as CSV and loaded by the real loader; each
+    written table is summarised."""
+    folder, out = scratch_path(spark, "fragments_csv"), scratch_path(spark, "fragments_out")
+    frags = {k: f(spark, d) for k, f in _FRAGMENT_VIEWS.items()}
+    frags["relationship"] = dt.relationship_fragment(dt.edge_labels(spark, d))
+    for kind, name in FRAGMENT_FILES.items():
+        export_csv(stg.conform(frags[kind], f"{kind}_fragment", strict=False), f"{folder}/{name}")
+    loaded = load_vocabulary_files(spark, folder, out)
+    keys = {"concept_relationship": ["concept_id_1", "concept_id_2", "relationship_id"]}
+    text = {"concept_relationship": "relationship_id"}
+    return reduce(DataFrame.unionByName, [df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*keys.get(t, [f"{t}_id"])).alias("n_keys"),
+        F.sum(F.length(text.get(t, f"{t}_name"))).cast("long").alias("n_chars"))
+        .select(F.lit(t).alias("table_name"), "n_rows", "n_keys", "n_chars") for t, df in loaded.items()])
+
+
+@register("merged_vocabulary", _cte(vf=dt.VOCABULARY_FRAGMENT_SQL, ve=dt.EXISTING_VOCABULARY_SQL) + """
+SELECT vocabulary_id, CAST(sum(old) AS BIGINT) AS n_old, CAST(sum(1 - old) AS BIGINT) AS n_new FROM (
+  SELECT vocabulary_id, 1 AS old FROM ve UNION ALL
+  SELECT vocabulary_id, 0 FROM vf ANTI JOIN ve USING (vocabulary_id)) t GROUP BY vocabulary_id""")
+def q_merged_vocabulary(spark, d):
+    """The vocabulary dimension after a load over existing rows: old rows stay,
+    only new keys are added."""
+    frag = dt.vocabulary_fragment(spark, d)
+    old = dt.existing_vocabulary(spark, d)
+    for f in frag.schema.fields:
+        if f.name != "vocabulary_id":
+            old = old.withColumn(f.name, F.lit(None).cast(f.dataType))
+    table = voc.load_vocabulary({"vocabulary": frag}, {"vocabulary": old.select(*frag.columns)})["vocabulary"]
+    return table.groupBy("vocabulary_id").agg(
+        F.count_if(F.col("vocabulary_name").isNull()).alias("n_old"),
+        F.count_if(F.col("vocabulary_name").isNotNull()).alias("n_new"))
+
+
+# ------------------------------------- staging end to end through both indexes
+_GEOM_IDS = 50
+
+
+def _nation_catalog(spark, d):
+    """A catalog with one source per nation (numeric dataset names) that has both
+    geometries and attributes; a variable depends on another nation's geometries."""
+    n = dt.table(spark, d, "nation")
+    ds = n.select(F.col("n_nationkey").alias("data_source_uuid"), F.lit("geo").alias("org_id"),
+                  F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("org_set_id"),
+                  F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("dataset_name"),
+                  F.lit("polygon").alias("geom_type"), F.lit("x").alias("boundary_type"), F.lit(1).alias("has_attributes"),
+                  F.lit('[{"op": "filter", "condition": "geom_record_id >= 0"}]').alias("geom_spec"))
+    vs = n.select((F.col("n_nationkey") + 1).cast("long").alias("variable_source_id"), F.col("n_name").alias("variable_name"),
+                  F.col("n_nationkey").alias("data_source_uuid"),
+                  F.pmod(F.col("n_nationkey") * 7, F.lit(25)).alias("geom_dependency_uuid"))
+    return ds, vs
+
+
+@register("staged_through_index", f"""
+SELECT c.c_custkey AS attr_record_id, c.c_nationkey + 1 AS variable_source_record_id, g.geom_name,
+       n.n_name AS variable_name, 'geo_r' || CAST(n.n_regionkey AS VARCHAR) AS database_schema,
+       lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS table_name
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+JOIN (SELECT s_nationkey, s_suppkey % {_GEOM_IDS} AS r, min(s_name) AS geom_name FROM supplier GROUP BY 1, 2) g
+  ON g.s_nationkey = (c.c_nationkey * 7) % 25 AND g.r = c.c_custkey % {_GEOM_IDS}""")
+def q_staged_through_index(spark, d):
+    """Geometries (suppliers) and attributes (customers) of every nation staged as
+    one dataset each, then every customer attached to the geometry that its
+    variable's index row points to; record ids restart in every source."""
+    ds, vs = _nation_catalog(spark, d)
+    gi = catalog.build_geom_index(ds)
+    ai = catalog.build_attr_index(ds, vs, gi)
+    place = stg.with_location(ds).select("data_source_uuid", *stg.PARTITION_COLUMNS)
+    geom = (dt.table(spark, d, "supplier").groupBy("s_nationkey", (F.col("s_suppkey") % _GEOM_IDS).alias("geom_record_id"))
+            .agg(F.min("s_name").alias("geom_name")).join(place, F.col("s_nationkey") == F.col("data_source_uuid"))
+            .select("geom_record_id", "geom_name", *stg.PARTITION_COLUMNS))
+    attr = (dt.table(spark, d, "customer").join(place, F.col("c_nationkey") == F.col("data_source_uuid"))
+            .select(F.col("c_custkey").alias("attr_record_id"), (F.col("c_custkey") % _GEOM_IDS).alias("geom_record_id"),
+                    (F.col("c_nationkey") + 1).cast("long").alias("variable_source_record_id"), *stg.PARTITION_COLUMNS))
+    paths = [scratch_path(spark, n) for n in ("staged_geom", "staged_attr")]
+    stg.write_staged(geom, paths[0])
+    stg.write_staged(attr, paths[1])
+    out = stg.attach_geometry(stg.read_indexed(stg.read_staged(spark, paths[1]), ai),
+                              stg.read_indexed(stg.read_staged(spark, paths[0]), gi), vs,
+                              sources=stg.geometry_sources(ai, gi))
+    return out.select("attr_record_id", "variable_source_record_id", "geom_name", "variable_name", *stg.PARTITION_COLUMNS)

@@ -2,12 +2,14 @@
 
 Jobs never create their own scratch folders on a cluster: lineage is cut in
 the shared folder named by ``spark.checkpoint.dir``.  Only when that setting is
-absent (local tests) do we pick a private folder under the system temp dir.
+absent and the master is local (tests) do we pick a private folder under the
+system temp dir; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -72,15 +74,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = None
     if root:
         return root
-    root = tempfile.mkdtemp(prefix="terracat-ckpt-")
-    try:
-        spark.conf.set("spark.checkpoint.dir", root)
-    except Exception:  # core setting not modifiable at runtime here
-        pass
-    try:
-        spark.sparkContext.setCheckpointDir(root)
-    except Exception:
-        pass
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share "
+                           f"(master {master or 'unknown'})")
+    root = tempfile.mkdtemp(prefix="terracat-ckpt-")  # one machine: driver and executors share it
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

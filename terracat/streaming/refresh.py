@@ -22,14 +22,23 @@ from ..sources.tables import read_if_exists
 
 
 def index_batch(batch: DataFrame, index_path: str, attr_index_path: str | None = None,
-                variables: DataFrame | None = None, catalog_path: str | None = None) -> None:
+                variables: DataFrame | str | None = None, catalog_path: str | None = None) -> None:
     """Append geom index rows for the not-yet-indexed sources of one batch.
 
     With ``attr_index_path``, ``variables`` and ``catalog_path`` the batch's
     catalog rows are also kept (``catalog_path``, sources not seen before)
-    and the attribute index is refreshed against every source seen so far:
-    variables not yet indexed are added, numbered after the existing ids."""
+    and the attribute index is refreshed: variables not yet indexed whose source
+    or geometry dependency is in the batch are added, numbered after the existing ids.
+    ``variables`` is a path or a frame; a path is read again in every batch, so
+    files that arrived since are seen (a variable that arrives after both its
+    sources is indexed with the next batch that holds one of them).
+
+    Of several rows of one source the smallest (by all columns, in order) counts, so
+    the result does not depend on how the files were batched, as long as rows
+    of one source arrive together or an earlier batch held it."""
     spark = batch.sparkSession
+    first = F.min(F.struct(*[c for c in batch.columns if c != "data_source_uuid"])).alias("__row")
+    batch = batch.groupBy("data_source_uuid").agg(first).select("data_source_uuid", "__row.*").select(*batch.columns)
     existing = read_if_exists(spark, index_path)
     rows = build_geom_index(batch, existing=existing)
     rows.write.mode("append").parquet(index_path)
@@ -41,6 +50,11 @@ def index_batch(batch: DataFrame, index_path: str, attr_index_path: str | None =
     sources = spark.read.parquet(catalog_path)
     geom_index = spark.read.parquet(index_path)
     attr = read_if_exists(spark, attr_index_path)
+    if isinstance(variables, str):
+        variables = spark.read.parquet(variables)
+    # work in proportion to the batch: only variables that touch its sources
+    touched = batch.select(F.col("data_source_uuid").cast("long").alias("__source"))
+    variables = _touching(variables, touched)
     added = (build_attr_index(sources, variables, geom_index) if attr is None
              else refresh_attr_index(attr, sources, variables, geom_index))
     added.write.mode("append").parquet(attr_index_path)
@@ -50,12 +64,12 @@ def start_geom_index_refresh(spark: SparkSession, source_dir: str, index_path: s
                              checkpoint_location: str, files_per_batch: int | None = None,
                              available_now: bool = True, file_format: str = "parquet",
                              schema=None, attr_index_path: str | None = None,
-                             variables: DataFrame | None = None, catalog_path: str | None = None,
+                             variables: DataFrame | str | None = None, catalog_path: str | None = None,
                              **csv_opts) -> StreamingQuery:
     """Watch ``source_dir`` for new catalog files and keep ``index_path``
     (a Parquet geom index) up to date, and with ``attr_index_path``,
-    ``variables`` (the variable_source table) and ``catalog_path`` also the
-    attribute index.  CSV files are read with the same database-load
+    ``variables`` (the variable_source table, or its path) and ``catalog_path``
+    also the attribute index.  CSV files are read with the same database-load
     semantics as the batch reader (``csv_opts`` as for ``read_delimited``)."""
     reader = spark.readStream.schema(schema or _source_schema(spark, source_dir, file_format))
     if files_per_batch:
@@ -77,5 +91,11 @@ def _source_schema(spark: SparkSession, source_dir: str, file_format: str):
     return CONTRACTS["data_source"].schema()
 
 
+def _touching(variables: DataFrame, touched: DataFrame) -> DataFrame:
+    """Variables whose data source or geometry dependency is in ``touched``."""
+    by = lambda c: variables.join(touched, F.col(c).cast("long") == F.col("__source"), "left_semi")
+    return by("data_source_uuid").unionByName(by("geom_dependency_uuid")).dropDuplicates(["variable_source_id"])
+
+
 def ordered_index(index: DataFrame) -> DataFrame:
     return index.orderBy(F.col("geom_index_id"))

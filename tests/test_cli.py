@@ -26,6 +26,10 @@ def test_cli_nothing_to_load(spark, tmp_dir):
     empty = os.path.join(tmp_dir, "empty")
     os.makedirs(empty)
     assert main(["load", "--csv-dir", empty, "--out", os.path.join(tmp_dir, "o")]) == 2
+    vocabulary_files(empty)  # one group without the other is an error, and nothing is written
+    assert main(["load", "--csv-dir", empty, "--out", os.path.join(tmp_dir, "o")]) == 2
+    assert not os.path.exists(os.path.join(tmp_dir, "o"))
+    assert main(["load", "--csv-dir", f"file://{empty}", "--out", os.path.join(tmp_dir, "o"), "--only", "vocabulary"]) == 0
 
 
 def test_cli_refresh_keeps_tables(spark, tmp_dir, capsys):
