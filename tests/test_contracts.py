@@ -34,3 +34,22 @@ def test_contracts_from_spec(spark, tmp_dir):
     assert got[("site", "references site.site_id", "parent_id")] == 1        # self-reference, orphan 3
     assert got[("reading", "references site.site_id", "site_id")] == 1
     assert got[("reading", "primary key", "reading_id")] == 1
+
+
+def test_spec_keeps_numerics_exact_and_honours_the_table_list(spark, tmp_dir):
+    from terracat.contracts import contracts_from_spec
+    from terracat.plans.integrity import check_tables
+    from terracat.plans.staging import conform
+    head = "cdmTableName,cdmFieldName,isRequired,cdmDatatype,isPrimaryKey,isForeignKey,fkTableName,fkFieldName\n"
+    with open(tmp_dir + "/fields.csv", "w") as f:
+        f.write(head + "measure,id,Yes,numeric,Yes,No,,\nmeasure,amount,No,numeric,No,No,,\n"
+                "measure,concept_id,No,int4,No,Yes,concept,concept_id\nother,id,Yes,int4,Yes,No,,\n")
+    with open(tmp_dir + "/tables.csv", "w") as f:
+        f.write("cdmTableName\nmeasure\n")
+    spec = contracts_from_spec(spark, tmp_dir + "/fields.csv", tables_path=tmp_dir + "/tables.csv")
+    assert set(spec) == {"measure"}
+    rows = conform(spark.createDataFrame([(1, "2.75", 5)], "id int, amount string, concept_id int"), spec["measure"])
+    assert rows.schema["id"].dataType.simpleString() == "bigint" and float(rows.first().amount) == 2.75
+    concept = spark.createDataFrame([(4,)], "concept_id int")
+    found = check_tables({"measure": rows, "concept": concept}, contracts=spec).where("table_name = 'measure'")
+    assert {r.rule: r.n_violations for r in found.collect()}["references concept.concept_id"] == 1

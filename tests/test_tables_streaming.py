@@ -84,3 +84,28 @@ def test_write_distributed_randomly_spreads_rows(spark, tmp_dir):
     tables.write_distributed_randomly(spark.range(0, 4000).withColumn("k", F.lit(1)), path, 4)
     sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 4 and sum(sizes) == 4000 and max(sizes) - min(sizes) <= 4   # even round robin
+
+
+def test_index_batches_do_not_depend_on_batching(spark, tmp_dir):
+    """Repeated rows of a source, one batch or several: the same index rows; new
+    variable files are seen by later batches."""
+    from terracat.plans import driver_tables as dt
+    from terracat.streaming.refresh import index_batch
+    from tests.conftest import SF_SMALL
+    ds = dt.data_sources(spark, SF_SMALL).where("data_source_uuid <= 30")
+    vs = dt.variable_rows(spark, SF_SMALL).selectExpr("l_orderkey * 10 + l_linenumber AS variable_source_id",
+                                                      "data_source_uuid", "geom_dependency_uuid")
+    vs = vs.dropDuplicates(["variable_source_id"])
+    results = []
+    for n, batches in enumerate([[ds.unionByName(ds)], [ds.where("data_source_uuid % 2 = 0"), ds, ds]]):
+        at = f"{tmp_dir}/{n}"
+        vs.write.parquet(at + "/vs")
+        for b in batches:
+            index_batch(b, at + "/gi", at + "/ai", at + "/vs", at + "/cat")
+        gi, ai = spark.read.parquet(at + "/gi"), spark.read.parquet(at + "/ai")
+        assert gi.count() == gi.select("geom_index_id").distinct().count() == gi.select("data_source_id").distinct().count()
+        named = ai.join(gi.select(F.col("geom_index_id").alias("attr_of_geom_index_id"), F.col("data_source_id").alias("g")),
+                        "attr_of_geom_index_id")
+        results.append((sorted(r.data_source_id for r in gi.collect()),
+                        sorted((r.variable_source_id, r.g) for r in named.collect())))
+    assert results[0] == results[1] and results[0][1]
