@@ -88,10 +88,10 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda v: F.lower(F.hex(v))), ".")
 
 
-def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
-    """Append next_<c> for every column c of ``carried``: the value in the
-    next row by descending doc_id (nulls last, ties by text); after the last
-    row comes the first.
+def with_next(rows: DataFrame, prepare, carried: list[str]) -> DataFrame:
+    """``prepare(rows)`` (columns made from the text), with next_<c> for every column
+    c of ``carried``: the value in the next row by descending doc_id (nulls last, ties
+    by text); after the last row comes the first.
 
     Rows are dealt to buckets of neighbouring ids (quantiles; at most
     ``_MOST_BUCKETS``), and every bucket gets a copy of the next one's first row,
@@ -109,13 +109,14 @@ def with_next(rows: DataFrame, carried: list[str]) -> DataFrame:
     names = sorted(r["bucket"] for r in tops.select("bucket").collect())  # at most _MOST_BUCKETS + 1
     before = {b: names[(i + 1) % len(names)] for i, b in enumerate(names)}  # the bucket that a bucket's first row follows
     dealt = rows.withColumn("bucket", bucket)
-    first = (dealt.join(tops.withColumnRenamed("bucket", "_b"), (F.col("bucket") == F.col("_b"))
-                        & F.col("doc_id").eqNullSafe(F.col("_top")), "left_semi")
-             .groupBy("bucket").agg(*[F.min_by(c, F.struct(F.xxhash64("text"), "text")).alias(c) for c in carried]))
+    # at most _MOST_BUCKETS + 1 narrow rows: the texts stay where they are
+    tops = F.broadcast(tops.withColumnRenamed("bucket", "_b"))
+    first = (dealt.join(tops, (F.col("bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_top")), "left_semi")
+             .groupBy("bucket").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
     moved = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv] or [F.lit(0), F.lit(0)]), F.col("bucket"))
     guests = first.withColumn("bucket", moved).withColumn("_guest", F.lit(1))
     w = Window.partitionBy("bucket").orderBy("_guest", *order)
-    return (dealt.withColumn("_guest", F.lit(0)).unionByName(guests, allowMissingColumns=True)
+    return (prepare(dealt.withColumn("_guest", F.lit(0)).unionByName(guests, allowMissingColumns=True))
             .select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
             .where(F.col("_guest") == 0).drop("_guest", "bucket"))
 
@@ -125,7 +126,7 @@ def compare(docs: DataFrame) -> DataFrame:
     replaced by the next document's beginning), and their likeness."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    near = with_next(with_fingerprint(rows, "text", "fp"), ["text", "fp"])
+    near = with_next(rows, lambda r: with_fingerprint(r, "text", "fp"), ["text", "fp"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half),
                       F.substring(F.col("next_text"), F.lit(1), half))
