@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_scope
 from ..sources.delimited import read_delimited, read_fragment
 from ..sources.tables import materialize, read_if_exists, write_clustered
 from . import catalog, integrity
@@ -97,13 +98,14 @@ def load_vocabulary_files(spark: SparkSession, fragment_dir: str, out_dir: str,
         except AnalysisException as exc:
             if kind not in optional or "PATH_NOT_FOUND" not in str(exc):
                 raise
-    tables = voc.load_vocabulary(frags, existing)
-    if existing:
-        # the existing rows may be those of out_dir: no plan may read files that
-        # another table's write replaces, so all are written aside first
-        tables = {name: materialize(df, f"vocab_{name}") for name, df in tables.items()}
-    return {name: _write_and_reload(spark, df, _path(out_dir, "vocabulary", name), CLUSTER_KEYS[name])
-            for name, df in tables.items()}
+    with scratch_scope(spark):  # the edges written for the reverse completion, and the copies below
+        tables = voc.load_vocabulary(frags, existing)
+        if existing:
+            # the existing rows may be those of out_dir: no plan may read files that
+            # another table's write replaces, so all are written aside first
+            tables = {name: materialize(df, f"vocab_{name}") for name, df in tables.items()}
+        return {name: _write_and_reload(spark, df, _path(out_dir, "vocabulary", name), CLUSTER_KEYS[name])
+                for name, df in tables.items()}
 
 
 def check_loaded(tables: dict[str, DataFrame], strict: bool = False) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,4 +103,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark)
     if "://" not in root and not root.startswith("/"):
         root = os.path.abspath(root)
-    return f"{root.rstrip('/')}/terracat-tables/{name}-{os.urandom(6).hex()}"
+    path = f"{root.rstrip('/')}/terracat-tables/{name}-{os.urandom(6).hex()}"
+    for made in getattr(_SCOPES, "open", [])[-1:]:
+        made.append(path)
+    return path
+
+
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders made inside the block (by this thread) when it
+    ends: for jobs that have written their results by then."""
+    made: list[str] = []
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    _SCOPES.open.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.open.remove(made)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

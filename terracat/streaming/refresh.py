@@ -18,6 +18,7 @@ from ..contracts import CONTRACTS
 from ..operators.relational import anti_join
 from ..plans.catalog import build_attr_index, build_geom_index, refresh_attr_index
 from ..sources.delimited import csv_options
+from ..session import scratch_scope
 from ..sources.tables import read_if_exists
 
 
@@ -37,6 +38,12 @@ def index_batch(batch: DataFrame, index_path: str, attr_index_path: str | None =
     the result does not depend on how the files were batched, as long as rows
     of one source arrive together or an earlier batch held it."""
     spark = batch.sparkSession
+    with scratch_scope(spark):
+        _index_batch(spark, batch, index_path, attr_index_path, variables, catalog_path)
+
+
+def _index_batch(spark: SparkSession, batch: DataFrame, index_path: str, attr_index_path: str | None,
+                 variables: DataFrame | str | None, catalog_path: str | None) -> None:
     first = F.min(F.struct(*[c for c in batch.columns if c != "data_source_uuid"])).alias("__row")
     batch = batch.groupBy("data_source_uuid").agg(first).select("data_source_uuid", "__row.*").select(*batch.columns)
     existing = read_if_exists(spark, index_path)

@@ -109,3 +109,23 @@ def test_index_batches_do_not_depend_on_batching(spark, tmp_dir):
         results.append((sorted(r.data_source_id for r in gi.collect()),
                         sorted((r.variable_source_id, r.g) for r in named.collect())))
     assert results[0] == results[1] and results[0][1]
+
+
+def test_batches_and_loads_leave_no_scratch(spark, tmp_dir):
+    from glob import glob
+
+    from terracat.plans import driver_tables as dt
+    from terracat.plans.load import load_vocabulary_files
+    from terracat.session import checkpoint_root
+    from terracat.streaming.refresh import index_batch
+    from tests.conftest import SF_SMALL
+    from tests.fixtures import vocabulary_files
+    folders = lambda: set(glob(checkpoint_root(spark).removeprefix("file://") + "/terracat-tables/*"))
+    ds = dt.data_sources(spark, SF_SMALL)
+    before = folders()
+    for n in range(4):
+        index_batch(ds.where(F.col("data_source_uuid") % 4 == n), tmp_dir + "/gi")
+    vocabulary_files(tmp_dir + "/csv")
+    loaded = load_vocabulary_files(spark, tmp_dir + "/csv", tmp_dir + "/out")
+    assert folders() == before and loaded["concept_relationship"].count() == 12
+    assert not glob(tmp_dir + "/out/vocabulary/*loaded*")
