@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from terracat.operators.ids import dense_id  # noqa: E402
+from terracat.plans import catalog  # noqa: E402
 from terracat.plans import integrity as ic  # noqa: E402
 from terracat.plans import staging as stg  # noqa: E402
 from terracat.plans.driver_tables import table  # noqa: E402
@@ -78,6 +79,19 @@ def main():
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     run("decode_concepts, shuffled (hot concept id)", lambda: stg.decode_concepts(
         attr, concept, ["unit_concept_id"]).write.format("noop").mode("overwrite").save())
+    nulls = li.repartition(16).select("l_orderkey", "l_linenumber", "l_partkey",
+                                      F.when(~HOT, F.col("l_partkey")).alias("unit_concept_id"))
+    run("decode_concepts, shuffled (a third NULL)", lambda: stg.decode_concepts(
+        nulls, concept, ["unit_concept_id"]).write.format("noop").mode("overwrite").save())
+    sources = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("data_source_uuid"), F.lit("o").alias("org_id"), F.lit("s").alias("org_set_id"),
+        F.col("p_name").alias("dataset_name"), F.lit("polygon").alias("geom_type"), F.lit("b").alias("boundary_type"),
+        F.lit(1).alias("has_attributes"))
+    variables = li.repartition(16).select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("variable_source_id"), F.col("l_partkey").alias("data_source_uuid"),
+        F.when(HOT, F.lit(1)).otherwise(F.col("l_suppkey")).alias("geom_dependency_uuid"))
+    run("build_attr_index, shuffled (hot geometry dependency)", lambda: catalog.build_attr_index(
+        sources, variables, catalog.build_geom_index(sources)).write.format("noop").mode("overwrite").save())
     spark.stop()
     report(log_dir)
 
