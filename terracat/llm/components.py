@@ -13,7 +13,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("m", "u").alias("m"))
     return (both.join(low, F.col("u") == F.col("_u")).where(F.col("v") > F.col("u"))
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -23,18 +23,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hook.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour that has none itself."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("n"), (F.col("u") > F.col("v")).cast("int").alias("down"),
+                                                   (F.col("u") < F.col("v")).cast("int").alias("up")),
+                                          F.struct(F.col("v").alias("n"), (F.col("v") > F.col("u")).cast("int").alias("down"),
+                                                   (F.col("v") < F.col("u")).cast("int").alias("up")))).alias("e")).select("e.*")
+    per = ends.groupBy("n").agg(F.sum("down").alias("down"), F.sum("up").alias("up"))
+    return not per.where("down > 1 or (down = 1 and up > 0)").limit(1).count()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge: ``edges`` has long columns
     u and v; component is the smallest node reachable, itself included.  Rows
     with a null are ignored.  Every round is written to the shared checkpoint
     folder; the rounds end when the edges are stars (about log n rounds)."""
     now = materialize(edges.where((F.col("u") != F.col("v"))).select("u", "v").distinct(), "cc")
-    mark = None
-    while True:
+    while not _stars(now):
         now = materialize(_small_star(_large_star(now)), "cc")
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
-    return (now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            .unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
+    high, low = F.greatest("u", "v"), F.least("u", "v").alias("component")
+    return (now.select(high.alias("node"), low).unionByName(now.select(F.least("u", "v").alias("node"), low).distinct()))
