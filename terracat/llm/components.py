@@ -34,8 +34,8 @@ def _stars(edges: DataFrame) -> bool:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node with an edge: ``edges`` has long columns
-    u and v; component is the smallest node reachable, itself included.  Rows
+    """(node, component) of every node with an edge: ``edges`` has columns u and v
+    of a type with an order (long, or structs of it); component is the smallest node reachable, itself included.  Rows
     with a null are ignored.  Every round is written to the shared checkpoint
     folder; the rounds end when the edges are stars (about log n rounds)."""
     now = materialize(edges.where((F.col("u") != F.col("v"))).select("u", "v").distinct(), "cc")
