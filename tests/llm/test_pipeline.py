@@ -55,6 +55,23 @@ def test_near_duplicates(stages):
     assert sum(r.doc_id is None for r in after.collect()) == sum(i is None for i, _ in docs)
 
 
+def test_near_duplicates_without_ids_of_their_own(spark):
+    text = lambda name, n=60, cut=0: " ".join(f"{name}{i}" for i in range(cut, n))
+    docs = [(7, text("a")), (7, text("b")), (7, text("b")), (9, text("a", cut=1)), (11, text("b", cut=1)),
+            (None, text("c")), (None, text("c", cut=1)), (None, text("d")), (3, text("d")),
+            (5, text("e")), (5, text("f")), (5, None), (5, ""), (6, "")] + [(8, text(f"g{i}x")) for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = cp.drop_near_duplicates(spark, frame, SF)
+    assert got.columns == ["doc_id", "text"]
+    found = rows(got.where("text != ''"))
+    ids = defaultdict(list)
+    for i, t in found:
+        ids[t.split()[-1].rstrip("0123456789")].append(i)
+    assert {k: v for k, v in ids.items() if k[0] != "g"} == {"a": [7], "b": [7], "c": [None], "d": [3], "e": [5], "f": [5]}
+    assert sorted(t for i, t in found if i == 8) == sorted(t for i, t in docs if i == 8)
+    assert sorted(r.doc_id for r in got.where("coalesce(text, '') = ''").collect()) == [5, 6]
+
+
 def test_contamination(spark, stages):
     before, after = stages["decontaminate"]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
