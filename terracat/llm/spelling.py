@@ -194,9 +194,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     hot = materialize(entries.groupBy("key").agg(F.sum(one).alias("p"), F.sum(1 - one).alias("q"))
                       .where(F.col("p") * F.col("q") > PAIRS).select("key"), "spelling_hot")
     few = _verified(entries.join(hot, "key", "left_anti"))
-    many = _verified(entries.join(hot, "key", "left_semi").select("key", "pivot", "last", "at", "left", "word", "n")
-                     .mapInArrow(_split, "key long, pivot boolean, last int, word string, n long"))
-    pairs = few.unionByName(many)
+    split = (entries.join(hot, "key", "left_semi").select("key", "pivot", "last", "at", "left", "word", "n")
+             .mapInArrow(_split, "key long, pivot boolean, last int, word string, n long"))
+    pairs = few.unionByName(_verified(materialize(split, "spelling_split")))
     return pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("word"), F.col("b").alias("other"), F.col("b_n").alias("other_n")),
         F.struct(F.col("b").alias("word"), F.col("a").alias("other"), F.col("a_n").alias("other_n")))).alias("x")).select("x.*").distinct()
