@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, licenses, lm, mixing, ngram_join, pii, secrets, spelling, substring, toxicity
+from . import decontaminate, fingerprint, licenses, lm, mixing, ngram_join, pii, prefix_trie, secrets, spelling, substring, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -77,3 +77,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_spelling")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group(spelling.words_of(_table(spark, sf_dir, "documents")))
+
+
+@register("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
