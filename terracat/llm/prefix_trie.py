@@ -107,10 +107,10 @@ def centroid_rollup(nodes: DataFrame, paths: DataFrame, values: list[str]) -> Da
     final = lambda plus: [(F.col(f"{v}_sum") + plus(v)).alias(v) for v in values]
     while True:
         whole = live.groupBy(*comp).agg(F.max("size").alias("whole"))
-        sized = live.join(whole, comp)
-        alone = materialize(sized.where(F.col("whole") == 1).select(*_NODE, *final(F.col)), "trie_done")
-        done.append(alone)
-        large = sized.where((F.col("whole") > 1))
+        # written, so that nothing after the join needs a component's rows together and Spark can split a large one
+        sized = materialize(live.join(whole, comp), "trie_sized")
+        done.append(sized.where(F.col("whole") == 1).select(*_NODE, *final(F.col)))
+        large = sized.where(F.col("whole") > 1)
         half = F.col("size") * 2 >= F.col("whole")
         centroid = large.where(half).groupBy(*comp).agg(F.min(F.struct("size", *_NODE)).alias("c"))
         marked = large.join(centroid, comp).withColumn("heavy", half)
