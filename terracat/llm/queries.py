@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, licenses, lm, mixing, ngram_join, pii, prefix_trie, secrets, spelling, substring, toxicity
+from . import decontaminate, fingerprint, licenses, lm, mixing, ngram_join, page_text, pii, prefix_trie, secrets, spelling, substring, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, tuple[QueryFn, str | None]] = {}
@@ -138,3 +138,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_prefix_trie", PREFIX_TRIE_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+@register("op12_page_text")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(_table(spark, sf_dir, "pages"))
