@@ -50,6 +50,8 @@ from ..sources.tables import materialize
 MIN_PAGES, SUPPORT, RUN_WORDS = 3, 0.5, 24
 #: Partial sums held by a task before they are passed on; bytes of templates that may be broadcast.
 HELD, BROADCAST_BYTES = 200_000, 16 << 20
+#: Elements and words whose hashes a task keeps.
+KEPT = 200_000
 
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,6 +76,7 @@ _PIECE = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|xmp|noembed|noframes)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>|[^>]*>)|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+_TELLING = re.compile(r"class|id|role|itemprop|hidden", re.I)
 _DIGITS, _LONG, _SPLIT = re.compile(r"\d+"), re.compile(r"\d{3,}"), re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -82,12 +85,14 @@ def _hash(*parts: object) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "article", "link")
+    """A place in a page.  Elements of one path share an object, also between
+    the pages of a task, and keep the hashes of the words read there."""
+    __slots__ = ("tag", "path", "parent", "dropped", "article", "link", "below", "words")
 
     def __init__(self, tag: str, more: str, parent: "Element | None"):
         seen = {k.lower(): a or b or c for k, a, b, c, _ in _ATTRIBUTE.findall(more) if k} if "=" in more else {}
         names = f"{seen.get('class', '')} {seen.get('id', '')}".strip()
-        self.tag, self.parent = tag, parent
+        self.tag, self.parent, self.below, self.words = tag, parent, {}, {}
         # numbers of single pages (all in ids, long ones in classes) do not tell paths apart
         self.path = _hash(parent.path if parent else 0, tag, _LONG.sub("0", seen.get("class", "")), _DIGITS.sub("0", seen.get("id", "")))
         role = seen.get("role", "").lower()
@@ -107,12 +112,35 @@ class Element:
         self.link = tag == "a" or bool(parent and parent.link)
 
 
+    def child(self, tag: str, more: str) -> "Element":
+        key = (tag, more if _TELLING.search(more) else "")
+        if key not in self.below:
+            self.below[key] = Element(*key, self)
+            _SHARED["made"] += 1
+        return self.below[key]
+
+    def word(self, word: str) -> int:
+        if word not in self.words:
+            self.words[word] = _hash(self.path, word)
+            _SHARED["made"] += 1
+        return self.words[word]
+
+
+_SHARED: dict = {"made": 0, "root": None}
+
+
+def _root() -> Element:
+    """The root that pages share until ``KEPT`` elements and words hang on it."""
+    if _SHARED["root"] is None or _SHARED["made"] > KEPT:
+        _SHARED.update(made=0, root=Element("", "", None))
+    return _SHARED["root"]
+
+
 def read(html: str) -> Iterator[tuple[str, Element, str]]:
     """(kind, element, text): kind "<" a start tag, ">" an end tag that is
     written out, "t" a text with its character references decoded, "|" the
     border of a block (also where an end tag is left out)."""
-    root = Element("", "", None)
-    stack, open_tags = [root], Counter()
+    stack, open_tags = [_root()], Counter()
 
     def leave(upto: int) -> bool:
         block = False
@@ -149,7 +177,7 @@ def read(html: str) -> Iterator[tuple[str, Element, str]]:
                     e = stack[at]
                     leave(at)
                     yield "|", e, ""
-            e = Element(tag, m["more"], stack[-1])
+            e = stack[-1].child(tag, m["more"])
             if tag in BLOCK:
                 yield "|", e, ""
             yield "<", e, ""
@@ -172,7 +200,7 @@ def tokens(html: str) -> Iterator[tuple[int, str, Element, str]]:
                 yield _hash(e.path, *words), "t", e, text
             else:
                 for w in words:
-                    yield _hash(e.path, w), "t", e, w
+                    yield e.word(w), "t", e, w
 
 
 def _sums(held: dict, fields: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
@@ -341,8 +369,8 @@ def main_text(html: str, template: dict | None) -> str:
                 words = text.split()
                 if len(words) > RUN_WORDS:
                     text = "" if _hash(e.path, *words) in constant else text
-                elif any(_hash(e.path, w) in constant for w in words):
-                    text = f" {' '.join(w for w in words if _hash(e.path, w) not in constant)} "
+                elif any(e.word(w) in constant for w in words):
+                    text = f" {' '.join(w for w in words if e.word(w) not in constant)} "
             out.append(text)
     return " ".join("".join(out).split())
 
@@ -375,10 +403,11 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum("n").alias("of"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= MIN_PAGES)
     vectors = rows.select("host", key, "html").mapInArrow(_vectors, "host string, token long, pages long, low long, high long")
     vectors = vectors.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("low").alias("low"), F.sum("high").alias("high"))
-    frequent = vectors.where("pages > 1").join(hosts, "host").where(F.col("pages") >= F.col("of") * SUPPORT)
+    # written, so that the join needs no host's rows together and Spark can split a large host
+    frequent = materialize(vectors.where("pages > 1").join(hosts, "host").where(F.col("pages") >= F.col("of") * SUPPORT), "page_tokens")
     # the token 0 stands once on every page: its class is the root class, listed first
     classes = frequent.groupBy("host", "pages", "low", "high").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    classes = classes.where((F.size("tokens") > 1))
+    classes = classes.where(F.size("tokens") > 1)
     first = F.struct((~F.array_contains("tokens", F.lit(0).cast("long"))).alias("later"), "tokens")
     listed = classes.groupBy("host").agg(F.sort_array(F.collect_list(first)).alias("all")).where(~F.col("all")[0]["later"])
     listed = materialize(listed.select("host", F.to_json(F.transform("all", lambda c: F.filter(c["tokens"], lambda t: t != 0))).alias("classes")), "page_classes")
