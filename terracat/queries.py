@@ -25,6 +25,7 @@ from .plans.load import FRAGMENT_FILES, load_vocabulary_files
 from .session import scratch_path
 from .sources.delimited import export_csv, read_delimited
 from .sources.tables import materialize, write_clustered
+from .streaming.arrivals import start_arrivals
 from .streaming.refresh import start_geom_index_refresh
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +47,9 @@ def sql_slug(expr: str) -> str:
 
 
 def _cte(**views: str) -> str:
-    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in views.items()) + "\n"
+    """A WITH clause.  The edge views are read several times: computed once."""
+    once = ("edge_fragment", "turned")
+    return "WITH " + ",\n".join(f"{k} AS {'MATERIALIZED ' * (k in once)}({v})" for k, v in views.items()) + "\n"
 
 
 # --------------------------------------------------------------- catalog
@@ -181,18 +184,15 @@ def q_load_relationships(spark, d):
     return voc.load_relationships(dt.relationship_fragment(dt.edge_labels(spark, d)))
 
 
-def _reverse_views(edges: str, labels: str, known: str = "TRUE") -> dict[str, str]:
+def _reverse_views(edges: str, labels: str) -> dict[str, str]:
     """Views of the completion by its definition: every edge of a minted concept
-    turned round, less those whose key is among the known edges."""
-    key = "concept_id_1, concept_id_2, relationship_id"
+    turned round, less those whose key is among the known edges.  The edges are
+    computed once and the labels joined, so the SQL is two hash joins."""
     return {
         "turned": f"SELECT e.concept_id_2 AS concept_id_1, e.concept_id_1 AS concept_id_2, "
-                  f"(SELECT l.reverse_relationship_id FROM {labels} l WHERE l.relationship_id = e.relationship_id) "
-                  f"AS relationship_id, e.valid_start_date, e.valid_end_date, e.invalid_reason "
-                  f"FROM {edges} e WHERE e.concept_id_1 > {MINTED_ID_THRESHOLD}",
-        "missing": f"SELECT {key} FROM turned EXCEPT SELECT {key} FROM {edges} WHERE {known}",
-        "added": "SELECT t.* FROM turned t WHERE EXISTS (SELECT 1 FROM missing m WHERE m.concept_id_1 = t.concept_id_1 "
-                 "AND m.concept_id_2 = t.concept_id_2 AND m.relationship_id = t.relationship_id)",
+                  f"l.reverse_relationship_id AS relationship_id, e.valid_start_date, e.valid_end_date, e.invalid_reason "
+                  f"FROM {edges} e LEFT JOIN {labels} l USING (relationship_id) WHERE e.concept_id_1 > {MINTED_ID_THRESHOLD}",
+        "added": f"SELECT t.* FROM turned t ANTI JOIN {edges} k USING (concept_id_1, concept_id_2, relationship_id)",
     }
 
 
@@ -660,6 +660,35 @@ def q_index_refresh_attr_stream(spark, d):
     return spark.read.parquet(ai)
 
 
+_LATE_STEP = """CASE WHEN sa AND ga THEN CASE WHEN variable_source_id % 2 = 0 THEN 1 ELSE 2 END ELSE 3 END"""
+
+
+@register("late_variables_stream", _cte(ds=dt.DATA_SOURCES_SQL, vs=dt.VARIABLE_SOURCES_SQL) + f"""
+, gi AS (SELECT row_number() OVER (ORDER BY boundary_type IS NOT NULL, data_source_uuid) AS geom_index_id,
+                data_source_uuid, boundary_type IS NULL AS ga FROM ds WHERE length(geom_type) > 0),
+attributes AS (SELECT data_source_uuid, boundary_type IS NULL AS sa, {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema,
+                      {sql_slug("concat(dataset_name)")} AS table_name FROM ds WHERE has_attributes = 1),
+complete AS (SELECT variable_source_id, geom_index_id, database_schema, table_name, vs.data_source_uuid, {_LATE_STEP} AS step
+             FROM attributes JOIN vs USING (data_source_uuid) JOIN gi ON gi.data_source_uuid = vs.geom_dependency_uuid)
+SELECT row_number() OVER (ORDER BY step, variable_source_id) AS attr_index_id, CAST(variable_source_id AS BIGINT) AS variable_source_id,
+       geom_index_id AS attr_of_geom_index_id, database_schema, table_name, CAST(data_source_uuid AS BIGINT) AS data_source_id
+FROM complete""")
+def q_late_variables_stream(spark, d):
+    """Sources and variables that arrive in three runs of one stream: sources
+    without a boundary type with the even variables, then the odd variables, late
+    for half of their sources, then the other sources.  What waited is indexed
+    by the run that completes it; ids follow the runs."""
+    ds = dt.data_sources(spark, d)
+    vs = materialize(dt.variable_sources(spark, d, columns=["data_source_uuid", "geom_dependency_uuid"]), "late_variables")
+    src, var, root, ckpt = (scratch_path(spark, n) for n in ("late_src", "late_var", "late_root", "late_ckpt"))
+    early, even = F.col("boundary_type").isNull(), F.col("variable_source_id") % 2 == 0
+    for run in (((ds.where(early), src), (vs.where(even), var)), ((vs.where(~even), var),), ((ds.where(~early), src),)):
+        for rows, path in run:
+            rows.write.mode("append").parquet(path)
+        start_arrivals(spark, src, var, root, ckpt, ds.schema, vs.schema).awaitTermination()
+    return spark.read.parquet(f"{root}/attr_index")
+
+
 # ------------------------------------------ files: the six fragments
 _FRAGMENT_VIEWS = {"vocabulary": dt.vocabulary_fragment, "concept_class": dt.concept_class_fragment,
                    "domain": dt.domain_fragment, "concept": dt.concept_fragment,
