@@ -401,9 +401,10 @@ def templates(pages: DataFrame) -> DataFrame:
     key = F.xxhash64("html").alias("key")
     hosts = rows.select("host", key).groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).groupBy("host").agg(
         F.sum("n").alias("of"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= MIN_PAGES)
+    hosts = materialize(hosts, "page_hosts")
     vectors = rows.select("host", key, "html").mapInArrow(_vectors, "host string, token long, pages long, low long, high long")
     vectors = vectors.groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum("low").alias("low"), F.sum("high").alias("high"))
-    # written, so that the join needs no host's rows together and Spark can split a large host
+    # both written, so that the join needs no host's rows together and Spark can split a large host
     frequent = materialize(vectors.where("pages > 1").join(hosts, "host").where(F.col("pages") >= F.col("of") * SUPPORT), "page_tokens")
     # the token 0 stands once on every page: its class is the root class, listed first
     classes = frequent.groupBy("host", "pages", "low", "high").agg(F.sort_array(F.collect_list("token")).alias("tokens"))

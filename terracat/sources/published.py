@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,19 +104,19 @@ def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def publish(spark: SparkSession, root: str, write: Callable[[str], dict[str, str]],
-            audit: Callable[[dict[str, DataFrame]], None] | None = None) -> dict[str, DataFrame]:
+            audit: Callable[[dict[str, DataFrame]], None] | None = None, drop: Iterable[str] = ()) -> dict[str, DataFrame]:
     """Write a new version, audit it, make it current.
 
     ``write(folder)`` writes the tables somewhere below ``folder`` and returns
     their folders by name; tables of the current version that it does not name
-    are kept.  ``audit(tables)`` sees the whole new version and raises to refuse
+    are kept, but for those to ``drop``.  ``audit(tables)`` sees the whole new version and raises to refuse
     it.  When anything fails the new folder is removed and the version before
     stays as it was."""
     root = root.rstrip("/")
     number, before = current(spark, root)
     folder = f"{root}/v{number + 1:08d}-{os.urandom(4).hex()}"
     try:
-        paths = {**before, **write(folder)}
+        paths = {**{k: p for k, p in before.items() if k not in set(drop)}, **write(folder)}
         tables = {name: spark.read.parquet(path) for name, path in paths.items()}
         if audit:
             audit(tables)
