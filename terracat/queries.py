@@ -23,7 +23,7 @@ from .plans import violations as vio
 from .plans import vocabulary as voc
 from .plans.catalog import schema_slug, table_slug
 from .plans.appends import Appends
-from .plans.load import FRAGMENT_FILES, load_vocabulary_files
+from .plans.load import FRAGMENT_FILES, load_published, load_vocabulary_files
 from .session import scratch_path
 from .sources.delimited import export_csv, read_delimited
 from .sources.tables import materialize, write_clustered
@@ -722,6 +722,33 @@ def q_fragments_csv_roundtrip(spark, d):
         .select(F.lit(t).alias("table_name"), "n_rows", "n_keys", "n_chars") for t, df in loaded.items()])
 
 
+def _export_fragments(spark, d) -> str:
+    folder = scratch_path(spark, "fragments_csv")
+    frags = {k: f(spark, d) for k, f in _FRAGMENT_VIEWS.items()}
+    frags["relationship"] = dt.relationship_fragment(dt.edge_labels(spark, d))
+    for kind, name in FRAGMENT_FILES.items():
+        export_csv(stg.conform(frags[kind], f"{kind}_fragment", strict=False), f"{folder}/{name}")
+    return folder
+
+
+def _row_text_sql(table: str) -> str:
+    cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in CONTRACTS[table].column_names)
+    return f"SELECT '{table}' AS table_name, concat_ws('|', {cells}) AS row_text FROM {table}_t"
+
+
+@register("rebuild_published", _cte(**_vocabulary_tables_sql()) + "\nUNION ALL\n".join(map(_row_text_sql, _VOCAB_TABLES)))
+def q_rebuild_published(spark, d):
+    """The six fragments exported as CSV, loaded and published twice: the second
+    load is a full rebuild that becomes current only as a whole.  Every row of
+    every current table, as text."""
+    folder, root = _export_fragments(spark, d), scratch_path(spark, "published")
+    for _ in range(2):
+        tables = load_published(spark, folder, root, only="vocabulary", tolerate=lambda rule: True)
+    texts = {t: [F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in CONTRACTS[t].column_names] for t in _VOCAB_TABLES}
+    return reduce(DataFrame.unionByName, [tables[t].select(F.lit(t).alias("table_name"), F.concat_ws("|", *texts[t]).alias("row_text"))
+                                          for t in _VOCAB_TABLES])
+
+
 @register("merged_vocabulary", _cte(vf=dt.VOCABULARY_FRAGMENT_SQL, ve=dt.EXISTING_VOCABULARY_SQL) + """
 SELECT vocabulary_id, CAST(sum(old) AS BIGINT) AS n_old, CAST(sum(1 - old) AS BIGINT) AS n_new FROM (
   SELECT vocabulary_id, 1 AS old FROM ve UNION ALL
