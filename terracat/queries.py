@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .contracts import CONTRACTS
 from .functions.columns import MINTED_ID_THRESHOLD, id_text, slug
+from .operators.id_ranges import IdRanges
 from .operators.ids import dense_id
 from .plans import catalog
 from .plans import driver_tables as dt
@@ -23,10 +24,11 @@ from .plans import violations as vio
 from .plans import vocabulary as voc
 from .plans.catalog import schema_slug, table_slug
 from .plans.appends import Appends
+from .plans.recipes import stage_variables
 from .plans.load import FRAGMENT_FILES, load_published, load_vocabulary_files
 from .session import scratch_path
 from .sources.delimited import export_csv, read_delimited
-from .sources.tables import materialize, write_clustered
+from .sources.tables import materialize, write_bucketed, write_clustered, write_interleaved
 from .streaming.arrivals import start_arrivals
 from .streaming.refresh import start_geom_index_refresh
 
@@ -219,6 +221,35 @@ def q_id_text_lookup(spark, d):
     return o.join(c, o["k"] == c["customer_id_text"]).select("o_orderkey", "customer_id_text", "c_name")
 
 
+@register("id_text_lookup_bucketed", QUERIES["id_text_lookup"][1])
+def q_id_text_lookup_bucketed(spark, d):
+    """The same lookup through a stored access path: customers bucketed by their id
+    as text, so only the orders are shuffled."""
+    c = dt.table(spark, d, "customer").select(id_text("c_custkey").alias("customer_id_text"), "c_name")
+    path = scratch_path(spark, "customer_by_text")
+    stored = write_bucketed(c, path.rsplit("/", 1)[-1].replace("-", "_"), "customer_id_text", 16, path)
+    o = dt.table(spark, d, "orders").select("o_orderkey", id_text("o_custkey").alias("k"))
+    return o.join(stored, o["k"] == stored["customer_id_text"]).select("o_orderkey", "customer_id_text", "c_name")
+
+
+#: A minted part concept and a minted supplier concept.
+_EITHER_END = (MINTED_ID_THRESHOLD + 1, dt.SUPPLIER_CONCEPT_BASE + 1)
+
+
+@register("edges_by_either_end", _cte(edge_fragment=dt.EDGE_FRAGMENT_SQL) + f"""
+SELECT concept_id_1, concept_id_2, relationship_id, valid_start_date, valid_end_date, invalid_reason
+FROM edge_fragment WHERE concept_id_1 IN {_EITHER_END} OR concept_id_2 IN {_EITHER_END}""")
+def q_edges_by_either_end(spark, d):
+    """All edges stored in interleaved order of both ends, then looked up by either
+    end: each half of the lookup reads the files whose bounds hold the ids."""
+    path = scratch_path(spark, "edges_interleaved")
+    write_interleaved(voc.load_concept_relationships(dt.edge_fragment(spark, d)), path, ["concept_id_1", "concept_id_2"], 64)
+    edges = spark.read.parquet(path)
+    first = edges.where(F.col("concept_id_1").isin(*_EITHER_END))
+    second = edges.where(F.col("concept_id_2").isin(*_EITHER_END) & ~F.col("concept_id_1").isin(*_EITHER_END))
+    return first.unionByName(second)
+
+
 # ------------------------------------------------------------ integrity
 
 
@@ -662,6 +693,57 @@ def q_index_refresh_attr_stream(spark, d):
     return spark.read.parquet(ai)
 
 
+_UNIT = 1 << 10
+
+
+@register("index_refresh_reserved", _cte(ds=dt.DATA_SOURCES_SQL) + f"""
+, rows AS (SELECT boundary_type IS NOT NULL AS later, data_source_uuid, geom_type, boundary_type,
+                  {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema, {sql_slug("concat(dataset_name)")} AS table_name,
+                  concat_ws(' ', org_id, org_set_id, dataset_name) AS table_desc FROM ds WHERE length(geom_type) > 0),
+units AS (SELECT CAST(ceil(count(*) FILTER (WHERE NOT later) / {_UNIT}.0) AS BIGINT) AS first FROM rows)
+SELECT row_number() OVER (PARTITION BY later ORDER BY data_source_uuid) + CASE WHEN later THEN first * {_UNIT} ELSE 0 END AS geom_index_id,
+       CAST(NULL AS BIGINT) AS data_type_id, geom_type AS data_type_name, CAST(NULL AS BIGINT) AS geom_type_concept_id,
+       boundary_type AS geom_type_source_value, database_schema, table_name, table_desc, CAST(data_source_uuid AS BIGINT) AS data_source_id
+FROM rows, units""")
+def q_index_refresh_reserved(spark, d):
+    """Two refreshes that both start from the empty index, as if at the same time:
+    each numbers its sources from a range of its own."""
+    ds, ids = dt.data_sources(spark, d), IdRanges(spark, scratch_path(spark, "id_ranges"), _UNIT)
+    one = catalog.reserved_geom_index(None, ds.where(F.col("boundary_type").isNull()), ids)
+    two = catalog.reserved_geom_index(None, ds.where(F.col("boundary_type").isNotNull()), ids)
+    return one.unionByName(two)
+
+
+_RECIPES = (
+    ("quantity", '[{"op": "column", "name": "l_quantity"}]'),
+    ("price", '[{"op": "column", "name": "l_extendedprice"}, {"op": "scale", "by": "0.5", "plus": "1"}]'),
+    ("returned discount", '[{"op": "when", "column": "l_returnflag", "equals": "R"}, {"op": "column", "name": "l_discount"}]'),
+    ("status", '[{"op": "column", "name": "l_linestatus"}, {"op": "lower"}]'),
+)
+
+
+@register("staged_by_recipe", """
+WITH v AS (SELECT s_suppkey, n, s_suppkey * 4 + n AS id FROM supplier, range(4) AS r(n) WHERE (s_suppkey + n) % 3 > 0),
+e AS (SELECT l_orderkey, l_linenumber, l_suppkey AS data_source_uuid, v.id AS variable_source_record_id,
+             list_value('quantity', 'price', 'returned discount', 'status')[n + 1] AS attr_source_value,
+             list_value(CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR), CAST(l_discount AS VARCHAR), l_linestatus)[n + 1]
+                 AS value_source_value,
+             CASE n WHEN 0 THEN l_quantity WHEN 1 THEN l_extendedprice * 0.5::DOUBLE + 1 WHEN 2 THEN l_discount END AS value_as_number,
+             CASE n WHEN 3 THEN lower(l_linestatus) END AS value_as_string
+      FROM lineitem JOIN v ON v.s_suppkey = l_suppkey WHERE n <> 2 OR l_returnflag = 'R')
+SELECT * FROM e""")
+def q_staged_by_recipe(spark, d):
+    """Line items as the rows of one source per supplier; each source's variables
+    carry recipes of their own (two or three of four kinds)."""
+    n = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n")
+    of = lambda k: F.element_at(F.array(*[F.lit(r[k]) for r in _RECIPES]), (F.col("n") + 1).cast("int"))
+    variables = (dt.table(spark, d, "supplier").select("s_suppkey", n).where((F.col("s_suppkey") + F.col("n")) % 3 > 0)
+                 .select((F.col("s_suppkey") * 4 + F.col("n")).cast("long").alias("variable_source_id"),
+                         F.col("s_suppkey").alias("data_source_uuid"), of(0).alias("variable_name"), of(1).alias("attr_spec")))
+    rows = dt.table(spark, d, "lineitem").withColumn("data_source_uuid", F.col("l_suppkey"))
+    return stage_variables(rows, variables, ["l_orderkey", "l_linenumber"])
+
+
 _LATE_STEP = """CASE WHEN sa AND ga THEN CASE WHEN variable_source_id % 2 = 0 THEN 1 ELSE 2 END ELSE 3 END"""
 
 

@@ -4,8 +4,11 @@ materialisation into the shared checkpoint folder to cut lineage."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import CONTRACTS, Contract
 from ..session import scratch_path
@@ -65,6 +68,46 @@ def write_clustered(df: DataFrame, path: str, keys: list[str], num_partitions: i
     ranged.sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
+#: Rows whose keys place the borders of the ranges, and ranges per key at most.
+BORDER_ROWS, MOST_BITS = 20_000, 6
+
+
+def interleaved_order(df: DataFrame, keys: list[str], bits: int) -> Column:
+    """Morton code of the rows: every key is ranked among 2**bits ranges of about
+    equal size and the ranks' bits are interleaved, so rows close in any of the
+    keys lie in few stretches of the order.  The borders come from a random
+    sample of bounded size; they shape the layout, never the rows."""
+    sample = df.select(*keys).orderBy(F.rand(17)).limit(BORDER_ROWS)
+    parts = 1 << bits
+    code = F.lit(0).cast("long")
+    sorted_keys = sample.agg(*[F.sort_array(F.collect_list(k)).alias(k) for k in keys]).first()
+    for at, key in enumerate(keys):
+        values = sorted_keys[key]
+        borders = sorted({values[len(values) * k // parts] for k in range(1, parts)}) if values else []
+        # a NULL key is in the first range
+        rank = reduce(lambda a, b: a + b, [F.coalesce((F.col(key) >= F.lit(b)).cast("int"), F.lit(0)) for b in borders], F.lit(0))
+        for bit in range(bits):
+            code = code + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(1).cast("long"), bit * len(keys) + at)
+    return code
+
+
+def write_interleaved(df: DataFrame, path: str, keys: list[str], num_partitions: int, mode: str = "overwrite") -> None:
+    """Store rows so that a lookup on *any* of the keys finds them in few files:
+    file statistics bound every key, not only the leading one of a sort."""
+    bits = max(1, min(MOST_BITS, -(-num_partitions.bit_length() // len(keys))))
+    coded = df.withColumn("__order", interleaved_order(df, keys, bits))
+    (coded.repartitionByRange(num_partitions, "__order", *keys).sortWithinPartitions("__order", *keys).drop("__order")
+     .write.mode(mode).parquet(path))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store rows hashed and sorted on ``key`` as a table: equality joins on the key
+    read it without a shuffle.  Each task writes whole buckets."""
+    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_distributed_randomly(df: DataFrame, path: str, num_partitions: int,
                                mode: str = "overwrite") -> None:
     """Even spread without a key (round robin)."""
