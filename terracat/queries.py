@@ -115,28 +115,30 @@ def q_dense_ids(spark, d):
 
 # ------------------------------------------------------ vocabulary
 
-_METADATA_SELECT = """
-SELECT {cid} AS concept_id, {name} AS concept_name, 'Metadata' AS domain_id,
-       '{label}' AS vocabulary_id, '{label}' AS concept_class_id,
-       CAST(NULL AS VARCHAR) AS standard_concept, 'OMOP generated' AS concept_code,
-       DATE '1970-01-01' AS valid_start_date, DATE '2099-12-31' AS valid_end_date,
-       CAST(NULL AS VARCHAR) AS invalid_reason
-FROM {frag}"""
+#: label, dimension view, its columns' stem, view of the keys it held before (None: no test)
+_KINDS = (("Vocabulary", "vf", "vocabulary", "ve"), ("Concept Class", "cf", "concept_class", "ce"),
+          ("Domain", "df", "domain", "de"), ("Relationship", "rf", "relationship", None))
+
+
+def _metadata_sql(kinds) -> str:
+    """Metadata concepts: the new keys of each dimension as (label, id, name), then
+    one projection that fills in what all of them share."""
+    new = []
+    for label, view, stem, held in kinds:
+        keys = f"SELECT {stem}_id FROM {view}" + (f" EXCEPT SELECT {stem}_id FROM {held}" if held else "")
+        new.append(f"SELECT '{label}' AS label, {stem}_concept_id AS id, {stem}_name AS name FROM {view} "
+                   f"SEMI JOIN ({keys}) k USING ({stem}_id)")
+    return ("SELECT id AS concept_id, name AS concept_name, shared.*, label AS vocabulary_id, label AS concept_class_id FROM ("
+            + " UNION ALL ".join(new) + ") n, (VALUES ('Metadata', CAST(NULL AS VARCHAR), 'OMOP generated', DATE '1970-01-01', "
+            "DATE '2099-12-31', CAST(NULL AS VARCHAR))) AS shared(domain_id, standard_concept, concept_code, valid_start_date, "
+            "valid_end_date, invalid_reason)")
+
 
 PROMOTE_SQL = _cte(
     vf=dt.VOCABULARY_FRAGMENT_SQL, ve=dt.EXISTING_VOCABULARY_SQL,
     cf=dt.CONCEPT_CLASS_FRAGMENT_SQL, ce=dt.EXISTING_CONCEPT_CLASSES_SQL,
     df=dt.DOMAIN_FRAGMENT_SQL, de=dt.EXISTING_DOMAINS_SQL,
-    edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL) + (
-    _METADATA_SELECT.format(cid="vocabulary_concept_id", name="vocabulary_name", label="Vocabulary", frag="vf")
-    + " WHERE vocabulary_id NOT IN (SELECT vocabulary_id FROM ve)\nUNION ALL"
-    + _METADATA_SELECT.format(cid="concept_class_concept_id", name="concept_class_name", label="Concept Class",
-                              frag="cf")
-    + " WHERE concept_class_id NOT IN (SELECT concept_class_id FROM ce)\nUNION ALL"
-    + _METADATA_SELECT.format(cid="domain_concept_id", name="domain_name", label="Domain", frag="df")
-    + " WHERE domain_id NOT IN (SELECT domain_id FROM de)\nUNION ALL"
-    + _METADATA_SELECT.format(cid="relationship_concept_id", name="relationship_name", label="Relationship",
-                              frag="rf"))
+    edge_fragment=dt.EDGE_FRAGMENT_SQL, rf=dt.RELATIONSHIP_FRAGMENT_SQL) + _metadata_sql(_KINDS)
 
 
 def _metadata_fragments(spark, d):
@@ -538,10 +540,8 @@ def loaded_vocabulary(spark, d):
 
 def _vocabulary_tables_sql() -> dict[str, str]:
     """CTEs (in dependency order) for the six loaded tables ``<name>_t``."""
-    promoted = "\nUNION ALL".join(
-        _METADATA_SELECT.format(cid=f"{k}_concept_id", name=f"{k}_name", label=label, frag=f"{k}_t")
-        for k, label in (("vocabulary", "Vocabulary"), ("concept_class", "Concept Class"),
-                         ("domain", "Domain"), ("relationship", "Relationship")))
+    promoted = _metadata_sql([(label, f"{stem}_t", stem, None) for label, _, stem, _ in _KINDS])
+    columns = ", ".join(_CONCEPT_COLUMNS)
     return {
         "edge_fragment": dt.EDGE_FRAGMENT_SQL,
         "rf": dt.RELATIONSHIP_FRAGMENT_SQL,
@@ -550,7 +550,7 @@ def _vocabulary_tables_sql() -> dict[str, str]:
         "domain_t": dt.DOMAIN_FRAGMENT_SQL,
         "relationship_t": "SELECT * FROM rf",
         "cf": dt.CONCEPT_FRAGMENT_SQL,
-        "concept_t": promoted + """
+        "concept_t": f"SELECT {columns} FROM ({promoted}) p" + """
 UNION ALL
 SELECT concept_id, left(concept_name, 255), domain_id, vocabulary_id, concept_class_id, standard_concept,
        concept_code, valid_start_date, valid_end_date, invalid_reason FROM cf""",
@@ -644,27 +644,16 @@ def q_catalog_integrity(spark, d):
     return ic.check_tables({"data_source": ds, "variable_source": vs, "geom_index": gi, "attr_index": ai})
 
 
-_ATTR_ROW_SQL = f"""SELECT vs.variable_source_id, g.geom_index_id AS attr_of_geom_index_id,
-       {sql_slug("concat(ds.org_id, '_', ds.org_set_id)")} AS database_schema,
-       {sql_slug("concat(ds.dataset_name)")} AS table_name,
-       CAST(ds.data_source_uuid AS BIGINT) AS data_source_id
-FROM ds JOIN vs ON ds.data_source_uuid = vs.data_source_uuid AND ds.has_attributes = 1"""
-
-
 @register("index_refresh_attr", _cte(
     ds=dt.DATA_SOURCES_SQL, vs=dt.VARIABLE_SOURCES_SQL,
-    gi=f"""SELECT CAST(row_number() OVER (ORDER BY CASE WHEN boundary_type IS NULL THEN 0 ELSE 1 END,
-                                       data_source_uuid) AS BIGINT) AS geom_index_id,
-               CAST(data_source_uuid AS BIGINT) AS data_source_id, boundary_type
-        FROM ds WHERE geom_type <> '' AND geom_type IS NOT NULL""",
-    a1=_ATTR_ROW_SQL + " AND ds.boundary_type IS NULL "
-       "JOIN gi g ON g.data_source_id = vs.geom_dependency_uuid AND g.boundary_type IS NULL",
-    a2=_ATTR_ROW_SQL + " JOIN gi g ON g.data_source_id = vs.geom_dependency_uuid "
-       "WHERE vs.variable_source_id NOT IN (SELECT variable_source_id FROM a1)") + """
-SELECT CAST(row_number() OVER (ORDER BY batch, variable_source_id, attr_of_geom_index_id) AS BIGINT) AS attr_index_id,
-       CAST(variable_source_id AS BIGINT) AS variable_source_id, attr_of_geom_index_id, database_schema,
-       table_name, data_source_id
-FROM (SELECT 0 AS batch, * FROM a1 UNION ALL SELECT 1 AS batch, * FROM a2) t""")
+    gi="""SELECT data_source_uuid, boundary_type IS NULL AS first_g,
+               row_number() OVER (ORDER BY boundary_type IS NOT NULL, data_source_uuid) AS geom_index_id FROM ds WHERE length(geom_type) > 0""",
+    attributes=f"""SELECT data_source_uuid, boundary_type IS NULL AS first_a, {sql_slug("concat(org_id, '_', org_set_id)")} AS database_schema,
+               {sql_slug("concat(dataset_name)")} AS table_name FROM ds WHERE has_attributes = 1""") + """
+SELECT row_number() OVER (ORDER BY NOT (first_a AND first_g), variable_source_id) AS attr_index_id,
+       CAST(variable_source_id AS BIGINT) AS variable_source_id, geom_index_id AS attr_of_geom_index_id, database_schema,
+       table_name, CAST(vs.data_source_uuid AS BIGINT) AS data_source_id
+FROM attributes JOIN vs USING (data_source_uuid) JOIN gi ON gi.data_source_uuid = vs.geom_dependency_uuid""")
 def q_index_refresh_attr(spark, d):
     """Attribute index refreshed after new sources arrive: the first arrival
     (sources without a boundary type) is indexed, then the whole catalog;
