@@ -32,6 +32,8 @@ MASKS = ("110111", "11010011", "110001011")
 WORDS, AGREE, SHORTEST = 13, 80, 8
 #: Bits of the bitmap (64 a word): bounded, whatever the benchmark's size.
 BITMAP_BITS = 1 << 20
+#: Ids of documents with a hit that may be broadcast to filter the texts.
+BROADCAST_BYTES = 16 << 20
 
 
 def _words(text: Column) -> Column:
@@ -93,7 +95,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, agree: i
                .select("doc_id", F.col("s.pos").alias("pos"), F.col("s.seed").alias("seed")))
     hits = materialize(windows.join(seeds, "seed").select(
         "doc_id", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "dec_hits")
-    ids = hits.select(F.col("doc_id").alias("_id")).distinct()
+    ids = materialize(hits.select(F.col("doc_id").alias("_id")).distinct(), "dec_ids")
+    size = ids.agg(F.sum(F.coalesce(F.octet_length(F.col("_id").cast("string")), F.lit(0)) + 16)).first()[0] or 0
+    if size <= BROADCAST_BYTES:  # measured; else both sides are shuffled
+        ids = F.broadcast(ids)
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     # only the words beside an alignment go on, not the text for every hit
     spans = hits.join(items.select("item_id", F.col("h").alias("item")), "item_id")
