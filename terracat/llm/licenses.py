@@ -9,7 +9,11 @@ passage must share at least ceil(tau/(2-tau) |B|) bigrams with the template, so
 templates with fewer shared bigrams in the whole text are pruned first.
 
 Passages are windows of words that begin at a word pair of the template.
-For each template the best non-overlapping windows of a text are reported.
+``scan`` reports for each template its best non-overlapping windows of a text.
+In ``identify`` the templates compete as well: of overlapping windows only the
+one of the highest coefficient stays (ties: the larger template, the earlier
+passage, the earlier template), so that licences whose notices differ by a word
+(versions, the terms of Creative Commons, GPL, LGPL and AGPL) are told apart.
 Null or empty text has no match.  Repeated rows give repeated results.  Texts
 are scanned whole.  Only doc_id and text are read.
 """
@@ -48,6 +52,60 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("Proprietary", "All rights reserved. Unauthorized copying of this file is strictly prohibited"),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1"),
+    ("Apache-1.0", "Licensed under the Apache License, Version 1.0"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-1.0", "This work is licensed under the GNU General Public License, version 1"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                "or (at your option) any later version"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+                "or (at your option) any later version"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version"),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 3 of "
+                 "the License, or (at your option) any later version"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+             "Affero General Public License as published by the Free Software Foundation"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                        "International License"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License"),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License"),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License"),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "Released under the ISC License"),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+                     "or promote products derived from this software without specific prior written permission"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+             "be held liable for any damages arising from the use of this software. Permission is granted to anyone to "
+             "use this software for any purpose, including commercial applications, and to alter it and redistribute "
+             "it freely"),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v1.0"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
 )
 
 _WORD = re.compile(r"[^\W_]+")
@@ -105,6 +163,17 @@ def match(text: str | None, t: Templates) -> list[tuple[str, int, int, int, floa
     return out
 
 
+def compete(matches: list[tuple[str, int, int, int, float]], t: Templates) -> list[tuple[str, int, int, int, float]]:
+    """Of overlapping windows the best template's, by position."""
+    kept: list[tuple[str, int, int, int, float]] = []
+    taken: set[int] = set()
+    for m in sorted(matches, key=lambda m: (-m[4], -len(t.sets[m[1]]), m[2], m[1])):
+        if taken.isdisjoint(range(m[2], m[3])):
+            taken.update(range(m[2], m[3]))
+            kept.append(m)
+    return sorted(kept, key=lambda m: m[2])
+
+
 def _windows(words, at, k, t):
     """Best windows of one template, greedily by dice, without overlap.  A
     window begins and ends at a pair of the template: trimming others off
@@ -141,13 +210,20 @@ def _windows(words, at, k, t):
 
 def scan(docs: DataFrame, templates=TEMPLATES, tau: float = TAU) -> DataFrame:
     """doc_id and ``matches``: array of (license, template, start, end, dice);
-    start and end count normalised words."""
-    table = Templates(templates, tau)
+    start and end count normalised words.  Every template is judged alone."""
+    return _matches(docs, Templates(templates, tau), lambda found, table: found)
+
+
+def identify(docs: DataFrame, templates=TEMPLATES, tau: float = TAU) -> DataFrame:
+    """The same, of overlapping windows only the best template's."""
+    return _matches(docs, Templates(templates, tau), compete)
+
 
+def _matches(docs: DataFrame, table: Templates, choose) -> DataFrame:
     @F.pandas_udf(MATCHES)
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: [dict(zip(("license", "template", "start", "end", "dice"), m))
-                                    for m in match(x, table)])
+                                    for m in choose(match(x, table), table)])
 
     return docs.select("doc_id", run(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("matches"))
 

@@ -122,7 +122,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
+    return licenses.digest(licenses.identify(_table(spark, sf_dir, "documents")))
 
 
 @register("op10_fingerprint")

@@ -122,3 +122,49 @@ def test_licenses_against_all_windows(docs_of, small_docs):
             mine[m.template] = max(mine.get(m.template, 0), m.dice)
         assert mine == pytest.approx(best)
     assert [m.license for m in got[50_002]].count("Apache-2.0") == 1 and len(got[50_003]) == 0
+
+
+NOTICES = [
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+             "General Public License as published by the Free Software Foundation."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                 "(at your option) any later version."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1"),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
+]
+
+
+def test_near_identical_notices_are_told_apart(docs_of):
+    docs = docs_of([f"Some words before. {text} And some words after it." for _, text in NOTICES]
+                   + [" other words ".join(text for _, text in NOTICES)])
+    docs = docs.withColumn("matches", F.lit(1)).withColumnRenamed("lang", "license")  # names that clash
+    rows = {r.doc_id: r.licenses for r in licenses.digest(licenses.identify(docs)).collect()}
+    assert [rows[i] for i in range(len(NOTICES))] == [name for name, _ in NOTICES]
+    assert rows[len(NOTICES)] == ",".join(sorted(name for name, _ in NOTICES))
+
+
+def test_competing_windows_do_not_overlap_and_are_the_best(docs_of, small_docs):
+    docs = docs_of([text for _, text in NOTICES] + [None, "", "word " * 60_000 + NOTICES[0][1], NOTICES[4][1] * 3], start=70_000)
+    docs = docs.unionByName(small_docs)
+    table = licenses.Templates()
+    alone = {(r.doc_id, str(r.matches)): r.matches for r in licenses.scan(docs).where("doc_id is not null").collect()}
+    every = {}
+    for (i, _), m in alone.items():
+        every.setdefault(i, []).extend(m)
+    rank = lambda m: (m.dice, len(table.sets[m.template]))
+    over = lambda a, b: a.start < b.end and b.start < a.end
+    found = 0
+    for r in licenses.identify(docs).where("doc_id is not null").collect():
+        found += len(r.matches)
+        assert not any(over(a, b) for a in r.matches for b in r.matches if a is not b)
+        for m in every[r.doc_id]:  # each window stays or meets one that is at least as good
+            assert m in r.matches or any(over(m, k) and rank(k) >= rank(m) for k in r.matches)
+    assert found > len(NOTICES)
