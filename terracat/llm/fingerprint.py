@@ -3,9 +3,10 @@
 A text's words (runs of ``[^\\x20\\x09-\\x0D]``, long ones in pieces of 16 code
 points, case kept) form pairs, its 2-mers; a text of one word has that word.
 The 2-mers are numbered by occurrence, hashed with their number and dealt to
-``BINS`` bins by the hash; each bin keeps its ``2`` smallest hashes, puts them
-back into text order and hashes the tuple.  A moved or edited passage changes
-the tuples, not only the set, so likeness falls with edit distance.  Likeness:
+``BINS`` bins by the hash; each bin keeps its ``2`` smallest hashes (a bin of one
+borrows the smallest of the next filled bin, so that short texts have order too),
+puts them back into text order and hashes the tuple.  A moved or edited passage
+changes the tuples, not only the set, so likeness falls with edit distance.  Likeness:
 equal bins over bins that either text fills (two texts without words: 1).
 
 Everything is array expressions per row: two sorts of packed longs (hash, position)
@@ -18,6 +19,9 @@ give repeated results.  Positions are kept in 24 bits: in a text of more than
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,9 +60,9 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
                        lambda a, b: F.xxhash64(a, b))
 
     def tuple_of(i):
-        a, b = F.get(t("s"), i), F.get(t("s"), i + 1)
-        other = F.when(bin_of(b) == bin_of(a), pos(b)).otherwise(pos(a))
-        return F.struct(bin_of(a).alias("bin"), F.least(pos(a), other).alias("p"), F.greatest(pos(a), other).alias("q"))
+        # the second of the bin, else the first of the next one (after the last: of the first)
+        a, b = F.get(t("s"), i), F.coalesce(F.get(t("s"), i + 1), F.get(t("s"), F.lit(0)))
+        return F.struct(bin_of(a).alias("bin"), F.least(pos(a), pos(b)).alias("p"), F.greatest(pos(a), pos(b)).alias("q"))
 
     out = (rows
            .withColumn(t("h"), F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)))
@@ -88,35 +92,53 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda v: F.lower(F.hex(v))), ".")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``bucket``: ascending buckets hold descending neighbours by
+    doc_id (nulls last, ties by text hash).
+
+    Buckets are quantiles of doc_id (at most ``_MOST_BUCKETS``).  An id that fills
+    more than one of them, and the null id, have buckets of their own, which the
+    text hash splits further: no id is too frequent for a task."""
+    ids = rows.select("doc_id")
+    total = ids.count()
+    buckets = max(1, min(total // _ROWS_PER_BUCKET, _MOST_BUCKETS))
+    found = ids.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 100_000)).first()[0] or []
+    hot = {a for a, b in pairwise(found) if a == b}
+    cuts = sorted({*found, *(h + 1 for h in hot if h < (1 << 63) - 1)}) or [0]
+    edges = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<bigint>")
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda c: c <= F.col("doc_id"))))
+    own = {-1, *(bisect_right(cuts, h) for h in hot)}  # buckets of one id
+    counts = ids.select(bucket.alias("b")).where(F.col("b").isin(*own)).groupBy("b").count().collect()
+    split = {r["b"]: -(-r["count"] * buckets // total) for r in counts}
+    part = F.lit(0)
+    if any(n > 1 for n in split.values()):
+        parts = F.element_at(F.create_map(*[F.lit(x) for kv in split.items() for x in kv]), bucket)
+        share = F.xxhash64("text") / F.lit(2.0 ** 64) + 0.5
+        part = F.coalesce(F.least(F.floor(share * parts).cast("int"), parts - 1), F.lit(0))
+    return rows.withColumn("bucket", bucket * (2 * _MOST_BUCKETS) + (2 * _MOST_BUCKETS - 1 - part))
+
+
 def with_next(rows: DataFrame, prepare, carried: list[str]) -> DataFrame:
     """``prepare(rows)`` (columns made from the text), with next_<c> for every column
     c of ``carried``: the value in the next row by descending doc_id (nulls last, ties
     by text); after the last row comes the first.
 
-    Rows are dealt to buckets of neighbouring ids (quantiles; at most
-    ``_MOST_BUCKETS``), and every bucket gets a copy of the next one's first row,
-    so one shuffle and a window inside the buckets do it."""
-    ids = rows.select("doc_id")
-    buckets = max(1, min(ids.count() // _ROWS_PER_BUCKET, _MOST_BUCKETS))
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 100_000)).first()[0] or []
-    cuts = F.lit(",".join(map(str, sorted(set(cuts))))) if cuts else F.lit("0")
-    cuts = F.split(cuts, ",").cast("array<bigint>")
-    bucket = F.coalesce(F.size(F.filter(cuts, lambda c: c <= F.col("doc_id"))), F.lit(-1))
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(bucket)
+    Rows are dealt to buckets of neighbours, and every bucket gets a copy of the
+    next one's first row, so one shuffle and a window inside the buckets do it."""
+    placed = dealt(rows)
     order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
     # first row of every bucket: one narrow aggregate, then its text
-    tops = ids.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("_top"))
-    names = sorted(r["bucket"] for r in tops.select("bucket").collect())  # at most _MOST_BUCKETS + 1
+    tops = placed.groupBy("bucket").agg(F.max("doc_id").alias("_top"))
+    names = sorted(r["bucket"] for r in tops.select("bucket").collect())  # at most a few times _MOST_BUCKETS
     before = {b: names[(i + 1) % len(names)] for i, b in enumerate(names)}  # the bucket that a bucket's first row follows
-    dealt = rows.withColumn("bucket", bucket)
-    # at most _MOST_BUCKETS + 1 narrow rows: the texts stay where they are
+    # as many narrow rows: the texts stay where they are
     tops = F.broadcast(tops.withColumnRenamed("bucket", "_b"))
-    first = (dealt.join(tops, (F.col("bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_top")), "left_semi")
+    first = (placed.join(tops, (F.col("bucket") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_top")), "left_semi")
              .groupBy("bucket").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")))
     moved = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv] or [F.lit(0), F.lit(0)]), F.col("bucket"))
     guests = first.withColumn("bucket", moved).withColumn("_guest", F.lit(1))
     w = Window.partitionBy("bucket").orderBy("_guest", *order)
-    return (prepare(dealt.withColumn("_guest", F.lit(0)).unionByName(guests, allowMissingColumns=True))
+    return (prepare(placed.withColumn("_guest", F.lit(0)).unionByName(guests, allowMissingColumns=True))
             .select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
             .where(F.col("_guest") == 0).drop("_guest", "bucket"))
 

@@ -65,3 +65,36 @@ def test_single_row_and_empty(docs_of, empty_docs):
     r = fg.compare(docs_of(["abcdefg"])).collect()[0]
     assert r.n_chars == 7 and r.edited_sha256 == hashlib.sha256(b"abcdabc").hexdigest() and r.near_next == 1.0
     assert fg.compare(empty_docs).count() == 0
+
+
+@pytest.mark.parametrize("n", [20, 40, 80])
+def test_short_texts_have_order(docs_of, n):
+    rng = random.Random(n)
+    texts = []
+    for _ in range(30):
+        words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        edited = words[:n // 2] + ["changed"] + words[n // 2 + 1:]
+        texts += [" ".join(words), " ".join(words[n // 2:] + words[:n // 2]), " ".join(edited)]
+    p = prints(docs_of(texts))
+    moved = sum(near(p[i], p[i + 1]) for i in range(0, 90, 3)) / 30
+    edited = sum(near(p[i], p[i + 2]) for i in range(0, 90, 3)) / 30
+    assert moved < 0.65 and edited > moved + 0.1
+
+
+def test_null_and_shared_ids_are_split_over_buckets(spark, monkeypatch):
+    monkeypatch.setattr(fg, "_ROWS_PER_BUCKET", 8)
+    rng = random.Random(9)
+    top = 2**63 - 1
+    rows = [(i, f"text {rng.randrange(10**9)} of {i}") for i in range(300)]
+    rows += [(h, f"hot {h} {rng.randrange(10**9)}") for h in (None, 7, top, -5) for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [r["count"] for r in fg.dealt(docs).groupBy("bucket").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 40
+    hashed = docs.selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()
+    order = sorted(hashed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h, r.text))
+    expect = []
+    for r, nxt in zip(order, order[1:] + order[:1]):
+        half = len(r.text) // 2
+        expect.append((str(r.doc_id), hashlib.sha256((r.text[:len(r.text) - half] + nxt.text[:half]).encode()).hexdigest()))
+    got = fg.compare(docs).collect()
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == sorted(expect)
