@@ -1,7 +1,9 @@
 """op3, op6 and op9 against independent brute-force versions."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +93,56 @@ def test_markov_finds_random_strings_and_leaves_words(spark, docs_of):
     assert got == {0: 1, 1: 0, 2: 0}
 
 
+ALPHABETS = {"base64": string.ascii_letters + string.digits + "+/", "letters": string.ascii_letters,
+             "lower": string.ascii_lowercase}
+
+
+def test_markov_recall_by_length_and_alphabet(spark, docs_of):
+    """Random strings of 16 characters and more are found with or without digits;
+    ordinary runs of that length are not."""
+    table = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng, texts, kinds = random.Random(3), [], []
+    for name, alphabet in ALPHABETS.items():
+        for n in (16, 18, 20, 24, 40):
+            for _ in range(40):
+                texts.append("see " + "".join(rng.choice(alphabet) for _ in range(n)) + ", the")
+                kinds.append((name, n))
+    plain = ["theinthereanderand", "thereand_thing_and_there_2", "THEREANDTHINGANDTHERE", "there-and-the-thing-and-here",
+             "/the/thing/and/there/in", "a" * 40]
+    found = {r.doc_id: r.n_markov for r in secrets.digest(secrets.scan(docs_of(texts + plain), table)).collect()}
+    for name in ALPHABETS:
+        for n in (16, 18, 20, 24, 40):
+            own = [found[i] for i, k in enumerate(kinds) if k == (name, n)]
+            assert sum(own) >= 0.9 * len(own), (name, n, sum(own))
+    assert [found[len(texts) + i] for i in range(len(plain))] == [0] * len(plain)
+
+
+def test_ratio_is_the_sum_over_pairs(spark, docs_of):
+    table = [float((i * 7919) % 13 - 6) for i in range(128 * 128)]
+    texts = ["Ab3+/_=-", "a", "ab" * 60_000]
+    llr = F.split(F.lit(",".join(map(str, table))), ",").cast("array<double>")
+    got = [r[0] for r in docs_of(texts).coalesce(1).select(secrets._ratio(F.col("text"), llr)).collect()]
+    assert got == [sum(table[ord(a) * 128 + ord(b)] for a, b in zip(t, t[1:])) for t in texts]
+
+
+def test_secret_samples_are_distinct_texts_without_base_values(spark, docs_of):
+    """A text that holds a third of the rows counts once, values that the base
+    rules find are no ordinary words, and the order of rows plays no part."""
+    texts = [f"the thing {i} and there token=qzxkvjwq{i:04d}" for i in range(50)]
+    once, often = docs_of(texts), docs_of(texts + [texts[0]] * 40)
+    assert secrets.train(once) == secrets.train(often.repartition(3))
+    table = secrets.train(once)
+    cell = lambda pair: table[ord(pair[0]) * 128 + ord(pair[1])]
+    assert cell("qz") > 0 and cell("xk") > 0 and cell("th") < 0
+
+
+def test_secrets_clashing_columns_and_long_texts(docs_of):
+    docs = docs_of(["x" * 30_000, "1" * 30_000, "a9" * 20_000, None]).select(
+        "doc_id", "text", *[F.lit(1).alias(c) for c in ("h", "__text", "__base", "__more", "spans", "label", "token")])
+    got = {r.doc_id: (r.n_hex, r.base_sha256) for r in secrets.digest(secrets.scan(docs)).collect()}
+    assert len(got) == 4 and got[1][0] == 1 and got[2][0] == 1 and got[3] == (0, hashlib.sha256(b"").hexdigest())
+
+
 @pytest.mark.parametrize("op", [lambda d: pii.digest(pii.detect(d)), lambda d: secrets.digest(secrets.scan(d)),
                                 lambda d: licenses.digest(licenses.scan(d))])
 def test_empty_table(empty_docs, op):
