@@ -1,6 +1,8 @@
 import random
+import zlib
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terracat.llm import toxicity
@@ -107,3 +109,37 @@ def test_labels_without_documents(spark):
     docs, labels = corpus(spark, n=60)
     model = toxicity.train(docs.limit(0), labels)
     assert model.constant is not None and 0 < model.constant < 1
+
+
+def test_rows_beyond_any_sample_are_learned(spark):
+    """A word of the toxic rows that come last by hash, after 5,000 others."""
+    n = 9000
+    order = F.row_number().over(Window.orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id"))
+    ids = spark.range(n).select(F.col("id").alias("doc_id"))
+    late = {r.doc_id for r in ids.where(~toxicity.held_out(F.col("doc_id"))).withColumn("k", order).where("k > 5000").collect()}
+    rng, docs, labels = random.Random(4), [], []
+    for k in range(2 * n):
+        text = [rng.choice(RNG_WORDS) for _ in range(8)]
+        if k < n:
+            text[rng.randrange(8)] = "laterword" if k in late or zlib.crc32(str(k).encode()) % 5 == 0 else BAD[0]
+        docs.append((k, " ".join(text), "en", "s", 0))
+        labels.append((k, 0, int(k < n)))
+    docs, labels = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    got = judged(docs.where("text like '%laterword%'"), toxicity.train(docs, labels, shard_bytes=200_000))
+    out = [r for r in got.values() if r.held_out]
+    assert len(late) > 2000 and len(out) > 100 and all(r.predicted == 1 for r in out)
+
+
+def test_shards_are_averaged(spark):
+    docs, labels = corpus(spark)
+    shards = toxicity.shards_of(docs, labels.select("doc_id", F.col("toxic").alias("y")), 20_000)
+    fold = docs.where(~toxicity.held_out(F.col("doc_id")))
+    learned = lambda s: sum(len(toxicity.Shard(r.asDict()).y) for r in s.collect())
+    assert 5 < shards.count() < 20 and learned(shards) == fold.count()
+    hot = docs.where("doc_id = 3").crossJoin(spark.range(900)).drop("id").withColumn(
+        "text", F.concat("text", F.lit(" "), (F.rand(1) * 1e9).cast("int").cast("string")))
+    shards = toxicity.shards_of(docs.unionByName(hot), labels.select("doc_id", F.col("toxic").alias("y")), 20_000)
+    sizes = [len(toxicity.Shard(r.asDict()).y) for r in shards.collect()]
+    assert sum(sizes) == fold.count() + 900 and max(sizes) < 500  # an id of many rows is in several
+    wrong, n = held_out_errors(docs, labels, toxicity.train(docs, labels, shard_bytes=20_000))
+    assert n > 100 and len(wrong) <= 0.03 * n
