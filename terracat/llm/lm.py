@@ -13,8 +13,9 @@ the parent's predictive probability and the tables of the restaurant, then the
 parent's customers given the new tables.  All dishes of a sweep see the
 totals after the sweep before it (as samplers that run in parallel do).  Customers
 of a dish are seated one at a time while few, then in batches of an eighth
-of those seated.  The chains start with one table a dish, are swept ``SWEEPS``
-times, and predictive probabilities are averaged over ``CHAINS`` of them.  The draws
+of those seated.  The chains start with one table a dish and are swept until
+the totals of their tables settle (``settled``; ``SWEEPS`` times at most); predictive
+probabilities are averaged over ``CHAINS`` of them.  The draws
 are hashes of (dish, chain, step): whoever holds a dish draws the same, so
 seatings need not be sent, and retried tasks agree.
 
@@ -54,7 +55,9 @@ FOLDS, FOLD = 7, 2
 BLOCK_BYTES = 4 << 20
 #: A bucket holds at most what so many blocks ask for, on average.
 BUCKET_BLOCKS = 4
-CHAINS, SWEEPS = 2, 1
+CHAINS, SWEEPS = 2, 20
+#: Change of a total by a sweep, in parts of it, and in standard deviations, that is none.
+CHANGE, NOISE = 0.005, 3.0
 #: Discount and strength of the context restaurants, of their parent.
 DISCOUNT, STRENGTH = 0.75, 1.0
 WORD_DISCOUNT, WORD_STRENGTH = 0.7, 10.0
@@ -102,6 +105,12 @@ def predict(customers, tables, discount: float, strength: float, restaurant_cust
     return (own + (strength + discount * restaurant_tables) * parent) / (strength + restaurant_customers)
 
 
+def settled(before: list[float], after: list[float]) -> bool:
+    """Whether a sweep left the totals of every chain as they were, but for chance."""
+    return all(abs(b - a) <= max(CHANGE * b, NOISE * math.sqrt(b))
+               for i, b in enumerate(after) for a in [before[i % len(before)]])
+
+
 # ------------------------------------------------------------------- messages
 def frame(*arrays: np.ndarray) -> bytes:
     """Arrays of non-negative integers, byte by byte of each place, compressed."""
@@ -380,12 +389,13 @@ def _score(total: int, kinds: int, *model):
     return run
 
 
-def score(docs: DataFrame, stored: bool = False, chains: int = CHAINS, sweeps: int = SWEEPS,
+def score(docs: DataFrame, stored: bool = False, chains: int = CHAINS, sweeps: int | None = None,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every
     row.  ``docs`` is read several times and must give the same rows in the same
     partitions; ``stored`` says that it is a plain read of files, otherwise
-    it is written first."""
+    it is written first.  The chains are swept until they settle, or ``sweeps``
+    times."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if not stored:
         rows = materialize(rows, "lm_docs")
@@ -408,11 +418,13 @@ def score(docs: DataFrame, stored: bool = False, chains: int = CHAINS, sweeps: i
     def meet(run, schema: str) -> DataFrame:
         return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
-    for sweep in range(sweeps + 1):  # the first round adds up the seating that the chains start with
+    for sweep in range((SWEEPS if sweeps is None else sweeps) + 1):  # the first round adds up the seating that the chains start with
         held_tables = totals[-1][1::2] if totals and totals[-1] else [float(kinds)]
-        found, sums = answered(meet(_offer(buckets, kinds, totals, chains, sweeps), "block long, bucket long, data binary"),
+        found, sums = answered(meet(_offer(buckets, kinds, totals, chains, sweep), "block long, bucket long, data binary"),
                                _parent(kinds, held_tables, sweep), "lm_sweep", sweep + 1)
         answers = answers.unionByName(found)
         totals = [*totals, sums]
-    return meet(_score(total, kinds, totals, chains, sweeps), _SCORED).select(
+        if sweeps is None and sweep and settled(totals[-2], sums):
+            break
+    return meet(_score(total, kinds, totals, chains, len(totals) - 1), _SCORED).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -166,3 +166,19 @@ def test_empty_and_single(empty_docs, docs_of):
     assert lm.score(empty_docs).count() == 0
     rows = lm.score(docs_of([None])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in rows] == [(1, 1, 1)]
+
+
+def test_chains_are_swept_until_they_settle(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id < 700")
+    seen = []
+    monkeypatch.setattr(lm, "settled", lambda a, b, judge=lm.settled: seen.append((a, b, judge(a, b))) or seen[-1][2])
+    got = {r.doc_id: r.score for r in lm.score(docs).collect()}
+    assert len(seen) > 1 and [s[2] for s in seen] == [False] * (len(seen) - 1) + [True]
+    assert got == {r.doc_id: r.score for r in lm.score(docs, sweeps=len(seen)).collect()}
+    assert got != {r.doc_id: r.score for r in lm.score(docs, sweeps=1).collect()}
+
+
+def test_settled():
+    assert lm.settled([1e6, 1e5], [1.001e6, 1e5, 1e6, 1.002e5])
+    assert not lm.settled([1e6, 1e5], [1e6, 1e5, 1e6, 1.02e5])
+    assert lm.settled([100.0, 10.0], [110.0, 12.0]) and lm.settled([], [])
