@@ -113,22 +113,27 @@ class Appends:
         stored, sketch = _stored(spark, paths, "keys"), _stored(spark, paths, "sketch")
         columns = found.where(F.col("rule_id").isin([k for k, r in enumerate(rules) if r.kind == "column"]))
         # references whose parent is not in this append
-        missing = materialize(vio.orphans(refs.select("rule_id", "key", "n"), keys, rules), "append_missing")
-        counted = keys
+        before = spark.read.parquet(paths["open"]) if "open" in paths else None
+        own = refs.select("rule_id", "key", "n", F.lit(True).alias("new"))
+        if before is not None:  # an orphan may have found its parent: asked together with the new references
+            own = own.unionByName(vio.reference_events(before, rules).select("rule_id", "key", "n", F.lit(False).alias("new")))
+        missing = materialize(vio.orphans(own, keys, rules), "append_missing")
+        waiting, missing = missing.where(~F.col("new")).drop("new"), missing.where("new").drop("new")
+        twice = vio.key_events(keys, rules, True).where(F.col("n") > 1)
         if stored is not None:
-            old_keys = _lookup(stored, candidates(keys, sketch, self.bits, "rule_id"))
-            counted = (keys.join(old_keys, ["rule_id", "key"], "left")
-                       .select("rule_id", "key", (F.col("n") + F.coalesce("stored_n", F.lit(0))).alias("n")))
-            asked = candidates(vio.with_parent(missing, rules), sketch, self.bits, "parent_id")
+            # each is read more than once: few rows are written instead of all keys being shuffled again
+            again = materialize(candidates(keys, sketch, self.bits, "rule_id"), "append_again")
+            old_keys = _lookup(stored, again)
+            again = materialize(again.join(old_keys, ["rule_id", "key"]).select(
+                "rule_id", "key", (F.col("n") + F.col("stored_n")).alias("n")), "append_twice")
+            asked = materialize(candidates(vio.with_parent(missing, rules), sketch, self.bits, "parent_id"), "append_asked")
             parents = _lookup(stored, asked.select(F.col("parent_id").alias("rule_id"), "key"))
-            missing = vio.orphans(missing, parents, rules)
-        twice = vio.key_events(counted, rules, True).where(F.col("n") > 1)
+            missing = vio.orphans(missing, materialize(parents, "append_parents"), rules)
+            twice = twice.join(again, ["rule_id", "key"], "left_anti").unionByName(vio.key_events(again, rules, True))
         now = columns.unionByName(missing)
-        if "open" in paths:
-            before = spark.read.parquet(paths["open"])
-            # a key seen again is counted anew with its stored rows; an orphan may have found its parent
+        if before is not None:
+            # a key seen again is counted anew with its stored rows
             kept = vio.key_events(before, rules).join(twice, ["rule_id", "key"], "left_anti")
-            waiting = vio.orphans(vio.reference_events(before, rules), keys, rules)
             still = before.where(F.col("rule_id").isin([k for k, r in enumerate(rules) if r.kind == "column"]))
             now = now.unionByName(still).unionByName(waiting)
             twice = twice.unionByName(kept)

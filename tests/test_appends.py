@@ -96,3 +96,19 @@ def test_one_scan_per_table(spark, tmp_dir):
     rules = vio.rules_of({"concept_ancestor": ds.columns}, CONTRACTS)
     plan = vio.events({"concept_ancestor": ds}, rules, CONTRACTS)._jdf.queryExecution().executedPlan().toString()
     assert len(rules) >= 3 and plan.count("FileScan") == 1
+
+
+def test_values_looked_up_are_written_once(spark, tmp_dir, contracts, monkeypatch):
+    """A later append asks the bit table once for its keys and once for its
+    orphans, whatever reads the answers, and offers open orphans together with them."""
+    made, asked = [], []
+    real, find = appends.materialize, appends.vio.orphans
+    monkeypatch.setattr(appends, "materialize", lambda df, name: made.append(name) or real(df, name))
+    monkeypatch.setattr(appends.vio, "orphans", lambda refs, keys, rules: asked.append(keys) or find(refs, keys, rules))
+    state = appends.Appends(spark, tmp_dir, {"site": ["site", "name", "region"], "reading": ["reading", "site", "value"]}, contracts, 64)
+    state.append("a", {"reading": spark.createDataFrame([(1, "a", "v"), (2, "b", "v")], READING)})
+    made.clear(), asked.clear()
+    state.append("b", {"site": spark.createDataFrame([("a", "x", "a")], SITE), "reading": spark.createDataFrame([(1, "b", "v")], READING)})
+    assert {"append_again", "append_twice", "append_asked", "append_parents"} <= set(made) and len(made) == len(set(made))
+    assert len(asked) == 2  # against the append's keys, and against the stored ones
+    assert rows(state.open_violations(), "rule", "key", "n") == [("primary key", "1", 2), ("references site.site", "b", 2)]
