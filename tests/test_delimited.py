@@ -74,3 +74,16 @@ def test_columns_are_positional_header_names_ignored(spark, tmp_dir):
     path = write(os.path.join(tmp_dir, "h.csv"), "a,b,c\nPlace,Place domain,7\n")
     r = read_delimited(spark, path, "domain_fragment").first()
     assert (r.domain_id, r.domain_name, r.domain_concept_id) == ("Place", "Place domain", 7)
+
+
+def test_exported_files_are_bounded(spark, tmp_dir, monkeypatch):
+    """One task's rows are dealt over files that several tasks can read."""
+    import os
+
+    from terracat.sources import delimited
+    monkeypatch.setattr(delimited, "FILE_ROWS", 10, raising=False)
+    df = spark.range(0, 25, 1, 1).selectExpr("id AS vocabulary_concept_id")
+    for single, files in ((False, 3), (True, 1)):
+        delimited.export_csv(df, f"{tmp_dir}/{single}", single_file=single)
+        assert len([f for f in os.listdir(f"{tmp_dir}/{single}") if f.endswith(".csv")]) == files
+        assert spark.read.csv(f"{tmp_dir}/{single}", header=True).count() == 25
