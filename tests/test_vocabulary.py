@@ -143,3 +143,18 @@ def test_complete_reverse_matches_brute_force(spark, edge_list):
     want = Counter((b, a, _RELS[r]) for a, b, r in edge_list
                    if a > 2_000_000_000 and _RELS[r] is not None and (b, a, _RELS[r]) not in present)
     assert got == want
+
+
+def test_files_are_parsed_before_the_clustered_writes(spark, tmp_dir, monkeypatch):
+    """A clustered write reads its rows twice, and a dimension is read again for
+    its concepts: neither goes back to the CSV files."""
+    from terracat.plans import load
+    plans, real = {}, load.write_clustered
+
+    def write(df, path, keys):
+        plans[os.path.basename(path)] = df._jdf.queryExecution().executedPlan().toString()
+        real(df, path, keys)
+    monkeypatch.setattr(load, "write_clustered", write)
+    out = load_vocabulary_files(spark, os.path.dirname(vocabulary_files(tmp_dir)["concept"]), os.path.join(tmp_dir, "out"))
+    assert set(plans) == set(out) and all(df.count() for df in out.values())
+    assert not [name for name, plan in plans.items() if "FileScan csv" in plan]
