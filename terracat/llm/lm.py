@@ -24,9 +24,14 @@ A block asks for its distinct words and pairs of words, as sorted 64- and 56-bit
 hashes dealt by hash to a bucket for every ``BUCKET_BLOCKS`` blocks; a bucket
 adds the counts up, answers in the order asked, and names one block the owner of
 each pair.  A block's messages are as many as the buckets, at most one an entry:
-far beyond 10^5 blocks, larger blocks are cheaper.  A sweep sends, by distinct word of a block, the tables of the pairs the
-block owns, by context and by word; the word's bucket adds them up, seats the
-parent's customers, and answers.  No key is hot: a block sends a word or pair
+far beyond 10^5 blocks, larger blocks are cheaper.  The texts are read three times
+(to ask, to set out what the sweeps need, to score) however many sweeps there
+are: a block keeps its owned pairs of more than one customer and the sums of the
+others (``Owned``).  A sweep sends, by word of these, the tables of the owned
+pairs, by context and by word; the word's bucket adds them up, seats the
+parent's customers, keeps the sums, and answers.  A seating follows from the sums
+of the sweep before it alone, so older ones are removed.  At the end the
+buckets give every block the last two sums of all of its words.  No key is hot: a block sends a word or pair
 once however often it occurs.  Hash collisions merge dishes: at 10^13 distinct
 pairs about one in 14,000.  Only totals pass through the driver.
 
@@ -40,6 +45,7 @@ from __future__ import annotations
 import math
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +54,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
+from ..sources.tables import discard, materialize
 from .tokens import U64, binary_parts, hashed_rows, mix
 
 FOLDS, FOLD = 7, 2
@@ -207,11 +213,16 @@ class Block:
 
     def cuts(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Places where the words and the pairs of each bucket begin."""
-        top = (np.arange(buckets, dtype=np.uint64) * U64(2 ** 32 // buckets)) << U64(32)
+        top = _tops(buckets)
         cut = lambda hashes, at: np.append(np.searchsorted(hashes, at), len(hashes))
         return cut(self.words, top), cut(self.pairs, top >> U64(64 - PAIR_BITS))
 
 
+def _tops(buckets: int) -> np.ndarray:
+    """Smallest hash of every bucket."""
+    return (np.arange(buckets, dtype=np.uint64) * U64(2 ** 32 // buckets)) << U64(32)
+
+
 def _sent(block: int, message, *cuts: np.ndarray) -> pa.Table:
     """``message`` of every bucket that one of the ``cuts`` gives entries."""
     buckets = np.flatnonzero(sum(np.diff(c) for c in cuts)).tolist()
@@ -255,18 +266,22 @@ def _added(values: np.ndarray, order, dish, first) -> tuple[np.ndarray, np.ndarr
     return sums, out
 
 
-def _answered(table: pa.Table, sizes: list[int], columns: list[np.ndarray], totals: list[float], more=None) -> pa.Table:
-    """Rows (block, bucket, data, totals); the totals are on the first row."""
+def _answered(table: pa.Table, sizes: list[int], columns: list[np.ndarray], totals: list[float], more=None,
+              kept: bytes | None = None) -> pa.Table:
+    """Rows (block, bucket, data, kept, totals); the totals, and what the bucket
+    keeps, are on the first row."""
     at, frames = 0, []
     for i, n in enumerate(sizes):
         frames.append(frame(*[c[at:at + n] for c in columns], *(more(i) if more else ())))
         at += n
     none = [0.0] * len(totals)
     return pa.table({"block": table["block"], "bucket": table["bucket"], "data": pa.array(frames, pa.binary()),
+                     "kept": pa.array([kept] + [None] * (len(frames) - 1), pa.binary()),
                      "totals": pa.array([totals] + [none] * (len(frames) - 1), pa.list_(pa.float64()))})
 
 
-_ANSWER = "block long, bucket long, data binary, totals array<double>"
+_MESSAGE = "block long, bucket long, data binary"
+_ANSWER = f"{_MESSAGE}, kept binary, totals array<double>"
 
 
 def _count(table: pa.Table) -> pa.Table:
@@ -293,9 +308,9 @@ def _parent(kinds: int, held: list[float], sweep: int):
         table = table.sort_by("block")
         words, *sums = zip(*map(unframe, table["data"].to_pylist()))
         order, dish, first, hashes = _merge(words)
-        columns, totals = [], []
+        columns, totals, kept = [], [], [_steps(hashes)]
         for chain in range(len(sums) // 2):
-            by_context = _added(np.concatenate(sums[2 * chain]), order, dish, first)[1]
+            contexts, by_context = _added(np.concatenate(sums[2 * chain]), order, dish, first)
             customers, by_word = _added(np.concatenate(sums[2 * chain + 1]), order, dish, first)
             mass = WORD_STRENGTH + WORD_DISCOUNT * held[chain % len(held)]
             tables = seat(customers.astype(np.int64), np.full(len(customers), 1.0 / (kinds + 1)),
@@ -304,87 +319,158 @@ def _parent(kinds: int, held: list[float], sweep: int):
             of_entry[order] = tables[dish]
             columns += [by_context, by_word, of_entry.astype(np.uint64)]
             totals += [float(customers.sum()), float(tables.sum())]
-        return _answered(table, list(map(len, words)), columns, totals)
+            kept += [contexts, customers, tables.astype(np.uint64)]
+        return _answered(table, list(map(len, words)), columns, totals, kept=frame(*kept))
+    return run
+
+
+def _recall(widths: list[int]):
+    """The sums that a bucket kept, for every word that it is asked for; ``widths``:
+    their columns by round."""
+    def run(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        asked, columns = asked.sort_by("block"), []
+        words = [np.cumsum(unframe(w)[0], dtype=np.uint64) for w in asked["words"].to_pylist()]
+        hashes = np.concatenate(words) if words else np.zeros(0, np.uint64)
+        have = dict(zip(kept["round"].to_pylist(), kept["kept"].to_pylist()))
+        for turn, width in enumerate(widths):
+            known, *sums = unframe(have[turn]) if turn in have else [np.zeros(0, np.uint64)] * (1 + width)
+            known = np.append(np.cumsum(known, dtype=np.uint64), U64(0))
+            at = np.minimum(np.searchsorted(known[:-1], hashes), len(known) - 1)
+            hit = (known[at] == hashes) & (at < len(known) - 1)
+            columns += [np.where(hit, np.append(s, U64(0))[at], U64(0)) for s in sums]
+        ends = np.cumsum([0, *map(len, words)])
+        return pa.table({"block": asked["block"], "bucket": asked["bucket"], "data": pa.array(
+            [frame(*[c[lo:hi] for c in columns]) for lo, hi in zip(ends[:-1], ends[1:])], pa.binary())})
     return run
 
 
 # --------------------------------------------------------------------- blocks
-class Seating:
-    """A block's share of the model: counts, and by chain the tables of its
-    pairs (``tables``), of their contexts, and the parent's probabilities."""
-
-    def __init__(self, block: Block, answers: pa.Table, kinds: int, totals: list[list[float]], chains: int,
-                 sweeps: int):
-        rounds: dict[int, list[tuple[int, list[np.ndarray]]]] = {}
-        for r, bucket, data in zip(*(answers[c].to_pylist() for c in ("round", "bucket", "data"))):
-            rounds.setdefault(r, []).append((bucket, unframe(data)))
-        joined = [[np.concatenate(x) for x in zip(*[d for _, d in sorted(rounds[r], key=lambda x: x[0])])] for r in sorted(rounds)]
-        counts, customers, owner = joined[0]
-        if len(counts) != len(block.words) or len(customers) != len(block.pairs):
-            raise RuntimeError("the rows of a block changed between two reads: store the table first")
-        self.block, self.counts, self.owner = block, counts.astype(np.int64), owner > 0
-        self.customers = customers.astype(np.int64)
-        self.seated = counts.astype(np.float64)  # a word has as many followers as it occurs
-        self.seated[block.start], self.seated[block.end] = counts[block.end], 0
-        self.tables = [(self.customers > 0).astype(np.float64)]
-        for sweep, (state, total) in enumerate(zip(joined[1:], totals)):
-            self.by_context = [state[i].astype(np.float64) for i in range(0, len(state), 3)]
-            self.parent = [predict(state[i + 1].astype(np.float64), state[i + 2], WORD_DISCOUNT, WORD_STRENGTH,
-                                   total[2 * (i // 3)], total[2 * (i // 3) + 1], 1.0 / (kinds + 1))
-                           for i in range(0, len(state), 3)]
-            if sweep < sweeps:
-                self._sweep(sweep, chains)
-
-    def _sweep(self, sweep: int, chains: int) -> None:
-        many = np.flatnonzero(self.customers > 1)  # one customer is one table
-        b, old = self.block, self.tables
-        context, word = b.context[many], b.word[many]
-        self.tables = []
-        for chain in range(chains):
-            i = chain % len(self.parent)
-            tables = old[i].copy()
-            tables[many] = seat(self.customers[many], self.parent[i][word],
-                                STRENGTH + DISCOUNT * self.by_context[i][context], DISCOUNT, b.pairs[many],
-                                (sweep << 8) + chain)
-            self.tables.append(tables)
-
-    def sums(self) -> list[np.ndarray]:
-        """By chain: tables of the owned pairs, by context and by word."""
-        b, own, out = self.block, self.owner, []
-        for tables in self.tables:
-            for key in (b.context, b.word):
-                out.append(np.bincount(key[own], weights=tables[own], minlength=len(b.words)).astype(np.uint64))
-        return out
-
-    def probability(self) -> np.ndarray:
-        """Predictive probability of every pair, averaged over the chains."""
-        b = self.block
-        return sum(predict(self.customers, t, DISCOUNT, STRENGTH, self.seated[b.context], by[b.context], p[b.word])
-                   for t, by, p in zip(self.tables, self.by_context, self.parent)) / len(self.tables)
-
-
-def _offer(buckets: int, *model):
+def _joined(answers: pa.Table) -> list[np.ndarray]:
+    """The columns of a block's answers, bucket by bucket."""
+    rows = sorted(zip(answers["bucket"].to_pylist(), answers["data"].to_pylist()))
+    return [np.concatenate(x) for x in zip(*[unframe(data) for _, data in rows])]
+
+
+def _above(sums: list[np.ndarray], totals: list[float], kinds: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """By chain, for the words of ``sums``: tables of their contexts, and the
+    parent's probabilities."""
+    chains = range(len(sums) // 3)
+    return ([sums[3 * i].astype(np.float64) for i in chains],
+            [predict(sums[3 * i + 1].astype(np.float64), sums[3 * i + 2], WORD_DISCOUNT, WORD_STRENGTH, totals[2 * i],
+                     totals[2 * i + 1], 1.0 / (kinds + 1)) for i in chains])
+
+
+def _seated(customers, context, word, pairs, by_context, parent, sweep: int, chains: int) -> list[np.ndarray]:
+    """By chain: tables of pairs of more than one customer, given the sums of a sweep."""
+    return [seat(customers, parent[chain % len(parent)][word],
+                 STRENGTH + DISCOUNT * by_context[chain % len(parent)][context], DISCOUNT, pairs, (sweep << 8) + chain)
+            for chain in range(chains)]
+
+
+class Owned:
+    """What the sweeps need of a block: the words of its owned pairs, the tables
+    of the pairs of one customer (one each) by context and by word, and the
+    pairs of more."""
+
+    def __init__(self, data: bytes):
+        words, self.one_context, self.one_word, pairs, context, word, self.customers = unframe(data)
+        self.words, self.pairs = np.cumsum(words, dtype=np.uint64), np.cumsum(pairs, dtype=np.uint64)
+        self.context, self.word = context.astype(np.int64), word.astype(np.int64)
+
+    @staticmethod
+    def of(block: Block, customers: np.ndarray, owner: np.ndarray) -> bytes:
+        used = np.zeros(len(block.words), bool)
+        used[block.context[owner]] = used[block.word[owner]] = True
+        place, n = np.cumsum(used) - 1, int(used.sum())
+        one, many = np.flatnonzero(owner & (customers == 1)), np.flatnonzero(owner & (customers > 1))
+        sums = [np.bincount(place[key[one]], minlength=n) for key in (block.context, block.word)]
+        return frame(_steps(block.words[used]), *sums, _steps(block.pairs[many]), place[block.context[many]],
+                     place[block.word[many]], customers[many])
+
+    def message(self, block: int, buckets: int, tables: list[np.ndarray]) -> pa.Table:
+        """By chain: the tables of the owned pairs, by context and by word."""
+        sums = [(one + np.bincount(key, weights=t, minlength=len(self.words)).astype(np.uint64))
+                for t in tables for one, key in ((self.one_context, self.context), (self.one_word, self.word))]
+        w = np.append(np.searchsorted(self.words, _tops(buckets)), len(self.words))
+        return _sent(block, lambda i: frame(_steps(self.words[w[i]:w[i + 1]]), *[s[w[i]:w[i + 1]] for s in sums]), w)
+
+
+_SET_OUT = "block long, bucket long, words binary, owned binary"
+
+
+def _set_out(buckets: int):
+    """The words of a block by bucket, and what its sweeps need (bucket null)."""
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        b = Block(texts["rows"][0].as_py(), texts["texts"][0].as_py())
-        sums, (w, _) = Seating(b, answers, *model).sums(), b.cuts(buckets)
-        return _sent(texts["block"][0].as_py(), lambda i: frame(
-            _steps(b.words[w[i]:w[i + 1]]), *[s[w[i]:w[i + 1]] for s in sums]), w)
+        b, block = Block(texts["rows"][0].as_py(), texts["texts"][0].as_py()), texts["block"][0].as_py()
+        _, customers, owner = _checked(b, answers)
+        w, _ = b.cuts(buckets)
+        asked = _sent(block, lambda i: frame(_steps(b.words[w[i]:w[i + 1]])), w)
+        n = len(asked)
+        return pa.table({"block": pa.array([block] * (n + 1), pa.int64()),
+                         "bucket": pa.array([*asked["bucket"].to_pylist(), None], pa.int64()),
+                         "words": pa.array([*asked["data"].to_pylist(), None], pa.binary()),
+                         "owned": pa.array([None] * n + [Owned.of(b, customers, owner)], pa.binary())})
+    return run
+
+
+def _checked(block: Block, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Training counts of the words and pairs of a block, and the pairs it owns."""
+    counts, customers, owner = _joined(answers)
+    if len(counts) != len(block.words) or len(customers) != len(block.pairs):
+        raise RuntimeError("the rows of a block changed between two reads: store the table first")
+    return counts.astype(np.int64), customers.astype(np.int64), owner > 0
+
+
+def _first_offer(buckets: int):
+    """Every pair of the training texts begins with one table."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                owned = Owned(data)
+                yield from owned.message(block, buckets, [np.ones(len(owned.pairs))]).to_batches()
+    return run
+
+
+def _offer(buckets: int, kinds: int, totals: list[float], chains: int, sweep: int):
+    """The tables after a sweep; ``totals`` are those before it."""
+    def run(state: pa.Table, answers: pa.Table) -> pa.Table:
+        owned, block = Owned(state["owned"][0].as_py()), state["block"][0].as_py()
+        sums = _joined(answers) if len(answers) else [np.zeros(0, np.uint64)] * (3 * len(totals) // 2)
+        tables = _seated(owned.customers.astype(np.int64), owned.context, owned.word, owned.pairs,
+                         *_above(sums, totals, kinds), sweep, chains)
+        return owned.message(block, buckets, tables)
     return run
 
 
 _SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(total: int, kinds: int, *model):
+def _score(total: int, kinds: int, totals: list[list[float]], chains: int, sweep: int):
+    """Scores by the seating of the last sweep (number ``sweep``; -1: none) and the
+    sums after it; ``totals``: those before it, if any, and after."""
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(texts["rows"][0].as_py(), texts["texts"][0].as_py())
-        s = Seating(b, answers, kinds, *model)
+        turn = answers["round"].to_numpy()
+        counts, customers, _ = _checked(b, answers.filter(pa.array(turn == 0)))
+        sums, known = _joined(answers.filter(pa.array(turn != 0))), len(totals[-1]) // 2 * 3
+        by_context, parent = _above(sums[-known:], totals[-1], kinds)
+        tables = [(customers > 0).astype(np.float64)]
+        if sweep >= 0:
+            many = np.flatnonzero(customers > 1)  # one customer is one table
+            tables = [tables[0].copy() for _ in range(chains)]
+            for t, seats in zip(tables, _seated(customers[many], b.context[many], b.word[many], b.pairs[many],
+                                                *_above(sums[:-known], totals[0], kinds), sweep, chains)):
+                t[many] = seats
+        seated = counts.astype(np.float64)  # a word has as many followers as it occurs
+        seated[b.start], seated[b.end] = counts[b.end], 0
+        probability = sum(predict(customers, t, DISCOUNT, STRENGTH, seated[b.context], by[b.context], p[b.word])
+                          for t, by, p in zip(tables, by_context, parent)) / len(tables)
         added = lambda x: np.add.reduceat(x, b.first)
         n = np.diff(np.append(b.first, len(b.token)))
-        base = np.log10((s.counts + 1) / (total + kinds + 1))[b.token]
-        logp = np.log10(s.probability())[b.pair]
+        base = np.log10((counts + 1) / (total + kinds + 1))[b.token]
         columns = [pa.array(b.ids, mask=b.null), pa.array(b.held), pa.array(n, pa.int64()),
-                   pa.array(added((s.counts > 0)[b.token].astype(np.int64))), pa.array(added(base)), pa.array(added(logp))]
+                   pa.array(added((counts > 0)[b.token].astype(np.int64))), pa.array(added(base)),
+                   pa.array(added(np.log10(probability)[b.pair]))]
         return pa.table(columns, names=[c.split()[0] for c in _SCORED.split(", ")])
     return run
 
@@ -405,26 +491,40 @@ def score(docs: DataFrame, stored: bool = False, chains: int = CHAINS, sweeps: i
     buckets = 1 << max(5, math.ceil(math.log2(1 + size / (BUCKET_BLOCKS * block_bytes))))
     blocks = rows.mapInArrow(_pack(block_bytes), "block long, rows binary, texts binary")
 
-    def answered(asked: DataFrame, run, name: str, turn: int) -> tuple[DataFrame, list[float]]:
-        found = materialize(asked.groupBy("bucket").applyInArrow(run, _ANSWER).withColumn("round", F.lit(turn)), name)
+    def answered(asked: DataFrame, run, name: str) -> tuple[DataFrame, list[float]]:
+        found = materialize(asked.groupBy("bucket").applyInArrow(run, _ANSWER), name, last_use=True)
         sums = found.select(F.posexplode("totals")).groupBy("pos").agg(F.sum("col").alias("n")).orderBy("pos").collect()
-        return found.drop("totals"), [r["n"] for r in sums]
-
-    asked = rows.mapInArrow(_ask(buckets, block_bytes), "block long, bucket long, data binary")
-    answers, counted = answered(asked, _count, "lm_counts", 0)
-    total, kinds = (int(x) for x in counted or (0, 0))
-    totals: list[list[float]] = []
+        return found, [r["n"] for r in sums]
 
-    def meet(run, schema: str) -> DataFrame:
-        return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    def meet(left: DataFrame, right: DataFrame, key: str, run, schema: str) -> DataFrame:
+        return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(run, schema)
 
+    asked = rows.mapInArrow(_ask(buckets, block_bytes), _MESSAGE)
+    answers, counted = answered(asked, _count, "lm_counts")
+    answers = answers.select("block", "bucket", "data")
+    total, kinds = (int(x) for x in counted or (0, 0))
+    out = materialize(meet(blocks, answers, "block", _set_out(buckets), _SET_OUT), "lm_blocks", last_use=True)
+    owned = out.where(F.col("owned").isNotNull()).select("block", "owned")
+    found, totals = [], []
     for sweep in range((SWEEPS if sweeps is None else sweeps) + 1):  # the first round adds up the seating that the chains start with
-        held_tables = totals[-1][1::2] if totals and totals[-1] else [float(kinds)]
-        found, sums = answered(meet(_offer(buckets, kinds, totals, chains, sweep), "block long, bucket long, data binary"),
-                               _parent(kinds, held_tables, sweep), "lm_sweep", sweep + 1)
-        answers = answers.unionByName(found)
-        totals = [*totals, sums]
-        if sweeps is None and sweep and settled(totals[-2], sums):
+        if sweep:
+            before = found[-1].select("block", "bucket", "data")
+            offers = meet(owned, before, "block", _offer(buckets, kinds, totals[-1], chains, sweep - 1), _MESSAGE)
+        else:
+            offers = owned.mapInArrow(_first_offer(buckets), _MESSAGE)
+        held_tables = totals[-1][1::2] if totals else [float(kinds)]
+        sums, now = answered(offers, _parent(kinds, held_tables, sweep), "lm_sweep")
+        found, totals = [*found, sums], [*totals, now or [0.0, 0.0] * (chains if sweep else 1)]
+        for old in found[:-2]:
+            discard(old)
+        found = found[-2:]
+        if sweeps is None and sweep and settled(totals[-2], totals[-1]):
             break
-    return meet(_score(total, kinds, totals, chains, len(totals) - 1), _SCORED).select(
+    last = totals[-2:]
+    kept = reduce(DataFrame.unionByName, [f.where(F.col("kept").isNotNull()).select("bucket", "kept", F.lit(i).alias("round"))
+                                          for i, f in enumerate(found)])
+    words = out.where(F.col("words").isNotNull()).select("block", "bucket", "words")
+    sums = meet(words, kept, "bucket", _recall([len(t) // 2 * 3 for t in last]), _MESSAGE)
+    answers = answers.withColumn("round", F.lit(0)).unionByName(sums.withColumn("round", F.lit(1)))
+    return meet(blocks, answers, "block", _score(total, kinds, last, chains, len(totals) - 2), _SCORED).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -182,3 +182,33 @@ def test_settled():
     assert lm.settled([1e6, 1e5], [1.001e6, 1e5, 1e6, 1.002e5])
     assert not lm.settled([1e6, 1e5], [1e6, 1e5, 1e6, 1.02e5])
     assert lm.settled([100.0, 10.0], [110.0, 12.0]) and lm.settled([], [])
+
+
+def test_sweeps_leave_two_rounds_and_no_shuffles(spark, small_docs):
+    """The disk of a run does not grow with its sweeps."""
+    from pathlib import Path
+    from terracat.session import checkpoint_root
+    root = Path(checkpoint_root(spark).removeprefix("file:"), "terracat-tables")
+    rounds = lambda: {p.name for p in root.glob("lm_sweep-*")}
+    before = rounds()
+    assert lm.score(small_docs, sweeps=5).count() == small_docs.count()
+    assert len(rounds() - before) == 2
+
+
+def test_owned_pairs_are_sent_as_they_are_counted():
+    """A block's first message adds up the pairs that it owns, one table each."""
+    rng = np.random.default_rng(3)
+    block = lm.Block(lm.frame(np.array([0, 1]), np.zeros(2), np.zeros(2), np.array([11, 9])), lm.zstandard.compress(b"a b a b c a" + b"c a b b a"))
+    customers, owner = rng.integers(1, 4, len(block.pairs)), rng.random(len(block.pairs)) < 0.7
+    owned = lm.Owned(lm.Owned.of(block, customers, owner))
+    found = {}
+    for r in owned.message(0, 32, [np.ones(len(owned.pairs)), np.full(len(owned.pairs), 2.0)]).to_pylist():
+        words, *sums = lm.unframe(r["data"])
+        found.update(zip(np.cumsum(words, dtype=np.uint64).tolist(), zip(*(s.tolist() for s in sums))))
+    expect = {}
+    for t, c, w in zip(customers[owner], block.context[owner], block.word[owner]):
+        for at, k in ((0, c), (1, w)):
+            row = expect.setdefault(int(block.words[k]), [0, 0, 0, 0])
+            row[at] += 1
+            row[at + 2] += 1 if t == 1 else 2
+    assert found == {k: tuple(v) for k, v in expect.items()}
