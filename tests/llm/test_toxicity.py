@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -143,3 +146,43 @@ def test_shards_are_averaged(spark):
     assert sum(sizes) == fold.count() + 900 and max(sizes) < 500  # an id of many rows is in several
     wrong, n = held_out_errors(docs, labels, toxicity.train(docs, labels, shard_bytes=20_000))
     assert n > 100 and len(wrong) <= 0.03 * n
+
+
+def test_a_batch_of_texts_is_scored_in_small_memory():
+    """Beside the batch's own texts, a scoring task holds a few MB."""
+    rng = random.Random(5)
+    text = " ".join(rng.choice(RNG_WORDS) for _ in range(400)).encode()
+    column = pa.array([text[i % 7:] for i in range(6000)], pa.binary())
+    counts = np.ones((2, toxicity.BUCKETS), np.float32)
+    model, _, _ = toxicity.start(counts, np.array([9, 9]))
+    toxicity.judged(column.slice(0, 10), model)  # tables that are made once
+    tracemalloc.start()
+    try:
+        whole = toxicity.judged(column, model)
+        assert tracemalloc.get_traced_memory()[1] < 30 << 20 < column.nbytes * 3
+    finally:
+        tracemalloc.stop()
+    assert len(whole) == len(column) and all(0 <= r["score"] <= 1 for r in whole.to_pylist())
+
+
+def test_a_shard_is_made_in_small_memory():
+    """A shard's texts are hashed a few at a time and not copied as a whole, and the
+    shard holds every labelled row in the order of its hash."""
+    rng = random.Random(6)
+    words = " ".join(rng.choice(RNG_WORDS) for _ in range(400)).encode()
+    n = 4000
+    texts = pa.table({"shard": pa.array([3] * n), "doc_id": pa.array([k % 3900 for k in range(n)]),
+                      "text": pa.array([words[k % 5:] for k in range(n)], pa.binary()), "h": pa.array([k % 5 for k in range(n)])})
+    known = pa.table({"doc_id": pa.array([k for k in range(3000)] + [1]), "y": pa.array([k % 2 for k in range(3000)] + [0], pa.int32())})
+    toxicity._shard(texts.slice(0, 10), known)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    try:
+        made = toxicity._shard(texts, known)
+        traced = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert traced < 70 << 20 and pa.total_allocated_bytes() - before < texts.nbytes
+    (_, shard), = toxicity._shards(iter(made.to_batches()))
+    assert len(shard.y) == 3000 + 100 and shard.y.sum() == 1500 + 50 and shard.lengths.sum() == len(shard.ids)
+    assert toxicity._shard(texts.slice(0, 0), known).num_rows == toxicity._shard(texts, known.slice(0, 0)).num_rows == 0
